@@ -235,7 +235,7 @@ def page_lines(blocks: DataFrame) -> DataFrame:
     the document or in several, or is the cut title of its document.
     """
     lines = blocks.where("page_index is not null and text is not null and type not in ('code', 'equation') and (type <> 'table' or text rlike '[a-z]{3,} [a-z]{2,} [a-z]{2,}' and not text rlike '<t[dr]')").select("block_id", "document_id", "type", "page_index", "title", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("line", F.trim(F.regexp_replace("line", r"[\s ]+", " "))).where("line <> '' and length(line) <= 100")
+    lines = lines.withColumn("line", F.trim(F.regexp_replace("line", r"[\s\u00a0]+", " "))).where("line <> '' and length(line) <= 100")
     pure = r"^(?i)(?:(?:page|pg|p)\b\.?\s*)?[\-–—·\[|.\s]*((?=[lIOoS|]*[0-9])[0-9lIOoS|]{1,4}|[lIO|]{2,3})\s*(?:(?:of|/)\s*[0-9lIOoS|]{1,4})?[\-–—·\]|.\s]*$"
     roman = r"^[\-–—·\[\s]*(?=[ivxlc])(?:x{0,3}|xl|lx{0,3}|xc)(?:ix|iv|v?i{0,3})[\-–—·\]\s]*$"
     ends = r"^([0-9]{1,4})\b[\s|.·—–\-]*(?=\S*\p{L})|(?:^|[\s|.·…—–\-])([0-9]{1,4})$"

@@ -23,7 +23,7 @@ def tagged_items(records: DataFrame, id_col: str, fields: tuple[str, ...], least
     Letter case and outer blanks are disregarded; null and blank items, null arrays and null ids are dropped; sets with
     fewer than ``least`` items are left out. Repeated ids unite their items.
     """
-    norm = lambda f: F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda x: F.lower(F.regexp_replace(x, r"^[\s ]+|[\s ]+$", "")))
+    norm = lambda f: F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")), lambda x: F.lower(F.regexp_replace(x, r"^[\s\u00a0]+|[\s\u00a0]+$", "")))
     tag = lambda f: F.transform(F.filter(norm(f), lambda x: x.isNotNull() & (x != "")), lambda x: F.concat(F.lit(f + "\x1f"), x))
     tagged = F.flatten(F.array(*[tag(f) for f in fields]))
     rows = records.select(F.col(id_col).alias("id"), tagged.alias("items")).where("id is not null")

@@ -22,7 +22,7 @@ RANK = {"pdf": 0, "docx": 1, "html": 2}
 
 def real_text(col: Column) -> Column:
     """Trimmed, null if blank or a stand-in."""
-    bare = F.trim(F.regexp_replace(col, r"[\s ]+", " "))
+    bare = F.trim(F.regexp_replace(col, r"[\s\u00a0]+", " "))
     return F.when(~F.lower(bare).isin(*STAND_INS), bare)
 
 
