@@ -17,12 +17,12 @@ DONE, SKIPPED = "complete", "skipped"
 
 def clean_status(col: Column) -> Column:
     """Status without blanks and letter case."""
-    return F.lower(F.trim(F.regexp_replace(col, r"[\s ]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(col, r"[\s\u00a0]+", " ")))
 
 
 def clean_hash(col: Column) -> Column:
     """Hash in lower case without blanks and algorithm prefix; null if nothing is left."""
-    bare = F.regexp_replace(F.lower(F.regexp_replace(col, r"[\s ]+", "")), r"^sha-?256[:=\-]?", "")
+    bare = F.regexp_replace(F.lower(F.regexp_replace(col, r"[\s\u00a0]+", "")), r"^sha-?256[:=\-]?", "")
     return F.when(bare.rlike("^[0-9a-f]{8,}$"), bare)
 
 
