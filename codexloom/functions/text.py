@@ -108,7 +108,7 @@ def is_preprint_doi(x: Column | str) -> Column:
 
 def year_from_name(x: Column | str) -> Column:
     """The last delimited year 1950 to 2030 in a file name."""
-    year = F.element_at(F.regexp_extract_all(text_or_column(x), F.lit(r"(?:^|[\s_\-(\[])((?:19|20)[0-9]{2})(?:[\s_\-)\]]|$)"), F.lit(1)), F.lit(-1))
+    year = F.try_element_at(F.regexp_extract_all(text_or_column(x), F.lit(r"(?:^|[\s_\-(\[])((?:19|20)[0-9]{2})(?:[\s_\-)\]]|$)"), F.lit(1)), F.lit(-1))
     number = F.try_to_number(year, F.lit("9999")).cast("int")
     return F.when(number.between(1950, 2030), number)
 

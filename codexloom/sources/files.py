@@ -236,7 +236,7 @@ def tei_references(files: DataFrame) -> DataFrame:
     bare = F.regexp_replace("tei", r'\sxmlns(:\w+)?="[^"]*"', "")
     items = F.xpath_number(bare, F.lit("count(//listBibl/biblStruct)")).cast("int")
     numbered = files.withColumn("_n", items).where("_n > 0").select("path", bare.alias("_t"), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("ref_index"))
-    return numbered.select("path", "ref_index", F.expr("nullif(xpath(_t, '//listBibl/biblStruct/*/title[1]/text()')[ref_index - 1], '')").alias("title"), F.expr("nullif(xpath(_t, '//listBibl/biblStruct/*/idno/text()')[ref_index - 1], '')").alias("doi"))
+    return numbered.select("path", "ref_index", F.expr("nullif(get(xpath(_t, '//listBibl/biblStruct/*/title[1]/text()'), ref_index - 1), '')").alias("title"), F.expr("nullif(get(xpath(_t, '//listBibl/biblStruct/*/idno/text()'), ref_index - 1), '')").alias("doi"))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
