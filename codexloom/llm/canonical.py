@@ -141,6 +141,7 @@ class Matcher:
         self.words: dict[int, list[list[str]]] = {}
         self.sizes: dict[int, tuple[str, ...]] = {}
         self.single: dict[int, str] = {}
+        self.long: set[tuple[str, int]] = set()  # keys of long forms, which may lack the short form's number
         for entity, name, full in entries:
             short = tokens(plain(name))
             self.sizes[entity] = sizes("".join(short))
@@ -150,6 +151,8 @@ class Matcher:
             for words in lists:
                 for key in {"".join(words), "".join(sorted(words))}:
                     self.forms.setdefault(key, set()).add(entity)
+                    if words is not short:
+                        self.long.add((key, entity))
         self.tree = BKTree(sorted(self.forms))
         self.holders: dict[str, set[int]] = {}  # by word, and by the first letters of a word
         for entity, lists in self.words.items():
@@ -158,9 +161,9 @@ class Matcher:
                 for n in range(3, len(word)):
                     self.holders.setdefault(word[:n] + ".", set()).add(entity)
 
-    def _agrees(self, entity: int, words: list[str], long_form: bool) -> bool:
+    def _agrees(self, entity: int, words: list[str], key: str) -> bool:
         mine = sizes("".join(words))
-        if mine != self.sizes[entity] and not (long_form and not mine):
+        if mine != self.sizes[entity] and not ((key, entity) in self.long and not mine):
             return False
         last = words[-1] if len(words) > 1 and len(words[-1]) == 1 and words[-1].isalpha() else ""
         return not (last and self.single[entity] and last != self.single[entity])
@@ -171,11 +174,10 @@ class Matcher:
         read = readings(value)
         for words in read:  # spelled exactly: nothing can be closer
             for key in {"".join(bare := [x.rstrip(".") for x in words]), "".join(sorted(bare))}:
-                best |= {entity: 0 for entity in self.forms.get(key, ()) if self._agrees(entity, words, sum(ch.isalpha() for ch in key) > 6)}
+                best |= {entity: 0 for entity in self.forms.get(key, ()) if self._agrees(entity, words, key)}
         for words in () if best else read:
             for key, entity, gap in self._near(words):
-                long_form = sum(ch.isalpha() for ch in key) > 6
-                if self._agrees(entity, words, long_form) and gap < best.get(entity, 99):
+                if self._agrees(entity, words, key) and gap < best.get(entity, 99):
                     best[entity] = gap
         if not best:
             return None

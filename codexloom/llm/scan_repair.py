@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..storage import cut
 
 #: Glyph runs that scanners confuse, longest first, each with the sign that stands for its group.
-CONFUSABLE = (("rn", "m"), ("nn", "m"), ("in", "m"), ("li", "h"), ("cl", "d"), ("vv", "w"), ("ii", "u"), ("ll", "u"), ("0", "o"), ("1", "l"), ("i", "l"), ("!", "l"), ("|", "l"), ("5", "s"), ("$", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("q", "g"), ("e", "c"))
+CONFUSABLE = (("rn", "m"), ("nn", "m"), ("in", "m"), ("ni", "m"), ("li", "h"), ("cl", "d"), ("vv", "w"), ("ii", "u"), ("ll", "u"), ("0", "o"), ("1", "l"), ("i", "l"), ("!", "l"), ("|", "l"), ("5", "s"), ("$", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("q", "g"), ("e", "c"))
 #: Signs read for letters inside a word.
 DIGIT_FOR = {"0": "o", "1": "li", "!": "il", "|": "li", "5": "s", "6": "bg", "8": "b", "9": "g", "$": "s", "4": "a", "3": "e", "7": "t"}
 SHORT_WORDS = frozenset("a an as at be by if in is it no of on or so to we and are but for its not our the was".split())
@@ -255,7 +255,7 @@ def page_lines(blocks: DataFrame) -> DataFrame:
     # Numbered headings meet the offset by chance; a header's numbers follow the page as a rule.
     seen = textual.where("num is not null").groupBy("key").agg(F.countDistinct(F.when(F.col("follows"), F.struct("document_id", "page_index"))).alias("pages"), F.avg(F.col("follows").cast("int")).alias("rate"))
     heads = seen.where("pages >= 2 and rate >= 0.5").select("key", F.lit(True).alias("head"))
-    repeats = textual.where(~F.col("type").isin("title", "heading") & (F.length("key") <= 70)).groupBy("document_id", "key").agg(F.countDistinct("page_index").alias("pages")).where("pages >= 2").select("document_id", "key", F.lit(True).alias("again"))
+    repeats = textual.where(~F.col("type").isin("title", "heading") & (F.length("key") <= 70) & (~F.col("line").rlike(r"\p{Ll}\.$") | F.col("line").rlike(r"\bal\.$")) & F.col("line").rlike(r"^[A-Z0-9].*\s[A-Z]")).groupBy("document_id", "key").agg(F.countDistinct("page_index").alias("pages")).where("pages >= 2").select("document_id", "key", F.lit(True).alias("again"))
     # Rare or cut headers: short lines that open like headers of several documents.
     openings = textual.join(heads, "key", "left_semi").where("follows and opening <> ''").groupBy("opening").agg(F.countDistinct("document_id").alias("docs"), F.countDistinct("key").alias("keys")).where("docs >= 3").select("opening", F.lit(True).alias("opens"))
     flagged = lines.join(heads, "key", "left").join(repeats, ["document_id", "key"], "left").join(openings, "opening", "left")

@@ -1,0 +1,27 @@
+"""Queries of the llm operators equal their SQL, and all of them run on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import compare
+from codexloom.llm import queries
+
+COLUMNS = {"p1_found": ["left_document_id", "right_document_id"], "p3_found": ["block_id"], "p4_found": ["work_id", "document_id"], "p5_found": ["left_work_id", "right_work_id"], "p6_found": ["block_id"], "p7_found": ["mention_id", "entity_id"], "p9_found": ["doc_id", "item_id"], "p10_found": ["doc_id"]}
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_query(spark, tiny, name):
+    df = queries.queries()[name](spark, tiny)
+    rows = df.collect()
+    if name in COLUMNS:
+        assert df.columns == COLUMNS[name] and len(rows) == len(set(rows))
+    if name in queries.oracle_sql():
+        con = duckdb.connect()
+        for t in (x[:-8] for x in os.listdir(tiny) if x.endswith(".parquet")):
+            con.execute(f"create view {t} as select * from '{tiny}/{t}.parquet'")
+        cursor = con.execute(queries.oracle_sql()[name])
+        names = [d[0] for d in cursor.description]
+        order = [names.index(c) for c in df.columns]
+        assert sorted(repr(tuple(compare.plain(x) for x in r)) for r in rows) == sorted(repr(tuple(compare.plain(r[i]) for i in order)) for r in cursor.fetchall())
