@@ -168,17 +168,24 @@ def grouped_prefix_join(sets: DataFrame, threshold: float, id_col: str = "id", t
     )
     ordered = cut(ordered.withColumn("gid", F.xxhash64("prefix", "n")), "prefix-groups")
     groups = ordered.groupBy("gid").agg(F.first("prefix").alias("prefix"), F.first("n").alias("n"))
-    # Groups meet on two shared prefix tokens; sets of one token, which have no two, on the single one.
+    # A pair must overlap in need(x, y) tokens. Groups meet on the two rarest tokens they share, which stand among the
+    # first n - need + 2 of both; sets so small that one shared token may do meet on single tokens as well.
+    single = f"if(n <= {1 / t}, transform(prefix, (a, i) -> struct(a as a, a as b, i + 1 as p)), array())"
     keys = F.expr(
-        "case when size(prefix) = 1 then array(struct(prefix[0] as a, prefix[0] as b)) else flatten(transform(sequence(0, size(prefix) - 2), i -> "
-        "transform(sequence(i + 1, size(prefix) - 1), j -> struct(least(prefix[i], prefix[j]) as a, greatest(prefix[i], prefix[j]) as b)))) end"
+        f"concat({single}, if(size(prefix) < 2, array(), flatten(transform(sequence(0, greatest(size(prefix) - 2, 0)), i -> "
+        "transform(sequence(i + 1, greatest(size(prefix) - 1, i + 1)), j -> struct(prefix[i] as a, get(prefix, j) as b, j + 1 as p))))))"
     )
-    posted = groups.select("gid", "n", "prefix", F.explode(keys).alias("k")).select("gid", "n", "prefix", "k.a", "k.b")
+    posted = groups.select("gid", "n", "prefix", F.explode(keys).alias("k")).select("gid", "n", "prefix", "k.a", "k.b", "k.p")
     g = posted.alias("x").join(posted.alias("y"), (F.col("x.a") == F.col("y.a")) & (F.col("x.b") == F.col("y.b")) & (F.col("x.gid") < F.col("y.gid")))
     g = g.where((F.col("x.n") >= F.ceil(F.col("y.n") * t - 1e-9)) & (F.col("y.n") >= F.ceil(F.col("x.n") * t - 1e-9)))
-    shared = F.expr("array_sort(array_intersect(x.prefix, y.prefix))")
-    # Each group pair once: only at the least two of the tokens that it shares.
-    g = g.where((shared[0] == F.col("x.a")) & (F.when(F.size(shared) > 1, shared[1]).otherwise(shared[0]) == F.col("x.b")))
+    need = F.ceil((F.col("x.n") + F.col("y.n")) * (t / (1 + t)) - 1e-9)
+    on_one = F.col("x.a") == F.col("x.b")
+    g = g.where((F.col("x.p") <= F.col("x.n") - need + 2) & (F.col("y.p") <= F.col("y.n") - need + 2) & (on_one == (need == 1)))
+    shared = F.array_intersect("x.prefix", "y.prefix")  # rarest first, as both prefixes are
+    # Each group pair once, at the rarest tokens it shares; and only if prefix and rest can hold the overlap.
+    first = (shared[0] == F.col("x.a")) & (on_one | (F.get(shared, F.lit(1)) == F.col("x.b")))
+    rest = F.greatest(F.col("x.n") - F.size("x.prefix"), F.col("y.n") - F.size("y.prefix"))
+    g = g.where(first & (F.size(shared) + rest >= need))
     pairs = g.select(F.col("x.gid").alias("gl"), F.col("y.gid").alias("gr")).unionByName(groups.select(F.col("gid").alias("gl"), F.col("gid").alias("gr")))
     members = ordered.select("gid", "id", "n", "toks")
     met = (
@@ -191,7 +198,7 @@ def grouped_prefix_join(sets: DataFrame, threshold: float, id_col: str = "id", t
     return met.select(F.least("il", "ir").alias("l"), F.greatest("il", "ir").alias("r"), "overlap")
 
 
-def title_versions(files: DataFrame, id_col: str = "document_id", title_col: str = "title", threshold: float = 0.5, rare: float = 0.0004, rare_least: int = 12) -> DataFrame:
+def title_versions(files: DataFrame, id_col: str = "document_id", title_col: str = "title", threshold: float = 0.5, rare: float = 0.002, rare_least: int = 12) -> DataFrame:
     """One row per file with the class of its title: ``(document_id, title_class, title_group, links)``.
 
     ``title_class`` unites titles with the same normalised words and mark, ``title_group`` all versions of one title
