@@ -168,6 +168,11 @@ class Matcher:
         last = words[-1] if len(words) > 1 and len(words[-1]) == 1 and words[-1].isalpha() else ""
         return not (last and self.single[entity] and last != self.single[entity])
 
+    def _foreign(self, entity: int, words: list[str]) -> bool:
+        """Whether a word is spelled as other entries have it and this one has not: it is no misspelling then."""
+        own = {w for known in self.words[entity] for w in known}
+        return any(len(w) > 2 and w in self.holders and w not in own for w in words)
+
     def match(self, value: str | None) -> tuple[int, int] | None:
         """(entity_id, edits) of the one closest entry, None if there is none or several are as close."""
         best: dict[int, int] = {}
@@ -177,7 +182,7 @@ class Matcher:
                 best |= {entity: 0 for entity in self.forms.get(key, ()) if self._agrees(entity, words, key)}
         for words in () if best else read:
             for key, entity, gap in self._near(words):
-                if self._agrees(entity, words, key) and gap < best.get(entity, 99):
+                if (gap == 0 or not self._foreign(entity, words)) and self._agrees(entity, words, key) and gap < best.get(entity, 99):
                     best[entity] = gap
         if not best:
             return None

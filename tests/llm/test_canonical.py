@@ -6,11 +6,11 @@ from hypothesis import strategies as st
 
 from codexloom.llm import canonical as ca
 
-ENTRIES = [(1, "data", "Zavolin-20", None), (2, "data", "Zavolin-100", None), (3, "data", "Merodek Atlas", None), (4, "metric", "PKR", "peak kernel ratio"), (5, "metric", "PKR95", "peak kernel rate"), (6, "model", "Kastun-S", None), (7, "model", "Kastun-L", None), (8, "data", "Pulvex3D", None)]
+ENTRIES = [(1, "data", "Zavolin-20", None), (2, "data", "Zavolin-100", None), (3, "data", "Merodek Atlas", None), (4, "metric", "PKR", "peak kernel ratio"), (5, "metric", "PKR95", "peak kernel rate"), (6, "model", "Kastun-S", None), (7, "model", "Kastun-L", None), (8, "data", "Pulvex3D", None), (9, "metric", "MVE", "mean vertex error"), (10, "metric", "PTL", "peak timing loss")]
 CASES = [
     ("data", "Zavolin-20", 1), ("data", "the ZAVOLIN 20 dataset [3]", 1), ("data", "zavolin20 (test split)", 1), ("data", "Zavolin-50", None), ("data", "Zavolin", None), ("data", "Zavolni-100", 2), ("data", "Atlas Merodek", 3),
     ("data", "Merod. Atlas", 3), ("data", "Meródek_Atlas data<sup>2</sup>", 3), ("data", "PKR", None), ("metric", "PKR (%)", 4), ("metric", "PXR", None), ("metric", "peak kernel ratio (PKR) ↑", 4), ("metric", "ratio, peak kernel", 4), ("metric", "peak kernal ratio value", 4),
-    ("model", "Kastun-M", None), ("model", "Kastun S et al.", 6), ("model", "KastunL", 7), ("data", "pulvex 3D", 8), ("data", "something else", None), ("data", "", None), ("data", "…", None),
+    ("model", "Kastun-M", None), ("model", "Kastun S et al.", 6), ("model", "KastunL", 7), ("data", "pulvex 3D", 8), ("metric", "peak vertex error", None), ("metric", "maen vertex error", 9), ("metric", "mean vertex eror (MVE)", 9), ("data", "something else", None), ("data", "", None), ("data", "…", None),
 ]
 
 
