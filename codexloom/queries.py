@@ -11,7 +11,7 @@ from .functions import entities as en
 from .functions import text as tx
 from .operators import components, delta, graphs, mentions, records, search, sections, works
 from .queries_sql import ORACLE
-from .sinks import exports
+from .sinks import exports, reports
 from .sources import files as sources
 from .storage import cut, table
 from .streaming import ingest
@@ -407,7 +407,19 @@ def nearest_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return search.nearest_vectors(e, e.where("vec_id % 50 = 0"))
 
 
-# --- exports, streams, sources ---
+# --- reports, exports, streams, sources ---
+
+
+@query
+def dataset_index(spark: SparkSession, sf: str) -> DataFrame:
+    named = table(spark, sf, "experiments").where("kind = 'dataset' and name is not null and work_id is not null").select("work_id", "name")
+    out = reports.dataset_index(table(spark, sf, "works"), named)
+    return out.select("name", "n_works", F.sha2("works", 256).alias("works_sha256"))
+
+
+@query
+def all_works_report(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.all_works_report(table(spark, sf, "works")).select("markdown")
 
 
 @query

@@ -221,6 +221,10 @@ ORACLE: dict[str, str] = {
     "nearest_embeddings": """with c as (select q.vec_id as query_id, e.vec_id, round(list_cosine_similarity(e.embedding::double[], q.embedding::double[]), 4) as cosine from embeddings e, embeddings q where q.vec_id % 50 = 0 and e.vec_id <> q.vec_id)
         select query_id, vec_id, cosine from (select *, row_number() over (partition by query_id order by cosine desc, vec_id) as rn from c) where rn <= 5""",
     "bibtex_rows": rf"""select work_id, concat_ws(chr(10), {_BIB}, '  title = {{{{' || coalesce(title, 'Untitled') || '}}}},', '  author = {{' || coalesce(nullif(array_to_string(authors, ' and '), ''), 'Unknown') || '}},', '  year = {{' || year || '}},', '  doi = {{' || nullif(doi, '') || '}},', '  eprint = {{' || nullif(arxiv_id, '') || '}},' || chr(10) || '  archivePrefix = {{arXiv}},', '  note = {{Work ID: ' || work_id || '}}', '}}') as entry from works""",
+    "dataset_index": rf"""with n as (select distinct work_id, {strip('name')} as name, replace(lower({strip('name')}), 'ß', 'ss') as key, name as raw from experiments where kind = 'dataset' and name is not null and work_id is not null and {strip('name')} <> '' and length(name) <= 40),
+        j as (select n.*, coalesce(title, 'Untitled') as title from n join works using (work_id))
+        select arg_min(name, (work_id, raw)) as name, count(distinct work_id) as n_works, sha256(array_to_string(list_sort(list_distinct(list(title))), '; ')) as works_sha256 from j group by key""",
+    "all_works_report": """select concat_ws(' ', '- **' || coalesce(title, 'Untitled') || '**', '— ' || nullif(array_to_string(authors, ', '), ''), '(' || year || ')', 'doi:' || nullif(doi, ''), 'arXiv:' || nullif(arxiv_id, '')) as markdown from works""",
     "csv_rows": "select work_id, coalesce(title, '') as title, coalesce(array_to_string(authors, '; '), '') as authors, coalesce(year::varchar, '') as year, coalesce(doi, '') as doi, coalesce(arxiv_id, '') as arxiv_id, coalesce(array_to_string(document_ids, '; '), '') as document_ids, coalesce(merge_status, '') as merge_status from works",
     "incremental_ingest": "select 'doc_' || left(sha256(coalesce(text, '')), 16) as document_id, min(doc_id) as doc_id, sha256(coalesce(text, '')) as sha256 from documents group by sha256(coalesce(text, ''))",
     "windowed_events": "select time_bucket(interval 1 hour, ts) as start, event_type, count(*) as n, round(sum(value), 2) as total from events group by 1, 2",
