@@ -30,21 +30,19 @@ CLASSES = ("clean", "abusive", "hateful", "sexual")
 LEET = str.maketrans("013457@$!", "oieastasi")
 _EDGE = re.compile(r"^[^\w@$*#]+|[^\w@$*#]+$")
 _END = frozenset(".!?…")
-#: A sentence counts as this long at least, so that a fragment of a word or two decides nothing.
-SHORTEST = 4
+#: Words from which on a sentence counts in full, so that a fragment of a word or two decides nothing.
+SHORTEST = 6
 _CLOSERS = "\"')]}»”’"
 
 
 def plain_word(token: str) -> str:
-    """A token in lower case without outer punctuation; numbers and long opaque strings are one word each."""
+    """A token in lower case without outer punctuation; '' for numbers and long opaque strings, which say nothing."""
     word = _EDGE.sub("", unicodedata.normalize("NFKC", token).lower())
     if not word:
         return ""
     if not any(ch.isalpha() for ch in word):
-        return "<sign>" if any(ch in "*@$#" for ch in word) else "<number>"
-    if len(word) > 30:
-        return "<opaque>"
-    return word
+        return "<sign>" if any(ch in "*@$#" for ch in word) else ""
+    return word if len(word) <= 30 else ""
 
 
 def word_parts(word: str, buckets: int) -> list[int]:
@@ -91,8 +89,19 @@ class Model:
         return self.scores[word_parts(word, self.buckets)].mean(axis=0)
 
     def probabilities(self, sentences: list[list[str]]) -> np.ndarray:
-        rows = [np.sum([self.word(w) for w in words], axis=0) / max(SHORTEST, len(words)) if (words := [w for w in map(plain_word, s) if w]) else np.zeros(len(self.bias)) for s in sentences]
-        return _softmax(np.array(rows).reshape(-1, len(self.bias)) + self.bias)
+        means, sizes = [], []
+        for sentence in sentences:
+            words = [w for w in map(plain_word, sentence) if w]
+            sizes.append(len(words))
+            means.append(np.mean([self.word(w) for w in words], axis=0) if words else np.zeros(len(self.bias)))
+        return _discounted(_softmax(np.array(means).reshape(-1, len(self.bias)) + self.bias), np.array(sizes))
+
+
+def _discounted(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Class chances with those of sentences below :data:`SHORTEST` words moved towards clean."""
+    p = p * np.minimum(1.0, sizes / SHORTEST)[:, None]
+    p[:, 0] += 1 - p.sum(axis=1)
+    return p
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -146,7 +155,7 @@ def _fit(sentences: list[tuple[str, ...]], target: np.ndarray, weight: np.ndarra
     return Model((params[0] @ params[1]).astype(np.float32), params[2])
 
 
-def train(documents: list[tuple[str, str]], buckets: int = 1 << 15, dim: int = 12, steps: int = 60, rounds: int = 4, rate: float = 0.05, balance: float = 4.0, seed: int = 7) -> Model:
+def train(documents: list[tuple[str, str]], buckets: int = 1 << 15, dim: int = 12, steps: int = 60, rounds: int = 3, rate: float = 0.05, balance: float = 4.0, seed: int = 7) -> Model:
     """Fit on (text, label) of reviewed documents.
 
     Sentences of clean documents are clean. Of an offensive document the sentence whose words clean documents hold least
@@ -254,8 +263,7 @@ def score_documents(documents: DataFrame, model: Model, threshold: float = 0.4,
                 begin = np.concatenate([[0], np.flatnonzero(stop)[:-1] + 1]) if stop[-1] else np.concatenate([[0], np.flatnonzero(stop) + 1])
                 total = np.add.reduceat(table[code], begin, axis=0)
                 size = np.add.reduceat(real[code].astype(np.float32), begin)
-                p = _softmax(total / np.maximum(size, SHORTEST)[:, None] + own.bias)
-                p[size == 0] = np.eye(k)[0]
+                p = _discounted(_softmax(total / np.maximum(size, 1)[:, None] + own.bias), size)
                 doc = np.searchsorted(np.array(firsts), begin, side="right") - 1
                 np.maximum.at(worst, doc, p)
                 np.maximum.at(best, doc, 1 - p[:, 0])
