@@ -87,6 +87,25 @@ def frequent_words(counts: DataFrame, share: float = 2e-6, least: int = 3) -> di
     return out
 
 
+def neighbour_counts(blocks: DataFrame, known: dict[str, int], share: float = 2e-6, least: int = 3) -> dict[tuple[str, str], int]:
+    """Occurrences of two known words side by side, of pairs with n >= max(least, share * all), hence at most 1 / share."""
+    held = blocks.sparkSession.sparkContext.broadcast(known)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = held.value
+        for batch in batches:
+            total: Counter[tuple[str, str]] = Counter()
+            for text in batch.column(0).to_pylist():
+                row = [w if w in words else None for w in _WORD.findall(text.lower())]
+                total.update(p for p in zip(row, row[1:]) if p[0] and p[1])
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in total], pa.string()), pa.array([b for _, b in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["a", "b", "n"])
+
+    rows = blocks.select("text").where("text is not null").mapInArrow(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    rows = cut(rows, "neighbours")
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    return {(r.a, r.b): r.n for r in rows.where(F.col("n") >= max(least, int(share * total))).collect()}
+
+
 class Reader:
     """Explains and repairs words of a scanned text by a vocabulary {word: occurrences}."""
 
@@ -278,19 +297,21 @@ def scanned_blocks(sections: DataFrame) -> DataFrame:
 _FIXED = "block_id string, kinds array<string>, fixed string"
 
 
-def word_traces(blocks: DataFrame, known: dict[str, int]) -> DataFrame:
+def word_traces(blocks: DataFrame, known: dict[str, int], supported: dict[tuple[str, str], int] | None = None) -> DataFrame:
     """(block_id, kinds, fixed) of blocks (block_id, type, text) in which a word was split, misread or wrongly spaced.
 
-    ``known`` is the vocabulary of :func:`frequent_words`, bounded by its share; it is broadcast.
+    ``known`` is the vocabulary of :func:`frequent_words`, ``supported`` the pairs of :func:`neighbour_counts`, both
+    bounded by their share; they are broadcast. Pairs decide between several explanations; without them frequency does.
     """
-    held = blocks.sparkSession.sparkContext.broadcast(known)
+    held = blocks.sparkSession.sparkContext.broadcast((known, supported))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(held.value)
+        words, pairs = held.value
+        reader = Reader(words)
         for batch in batches:
             ids, kinds, fixed = [], [], []
             for block, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found, repaired = reader.repair(text)
+                found, repaired = reader.repair(text, pairs)
                 if found:
                     ids.append(block)
                     kinds.append(found)
@@ -331,7 +352,7 @@ def readable_paragraphs(sections: DataFrame, share: float = 2e-6) -> DataFrame:
     kept = blocks.join(dropped, "block_id", "left").withColumn("lines", F.split("text", "\n"))
     kept = kept.withColumn("text", F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.expr("array_join(filter(lines, (x, i) -> not array_contains(drop, i)), '\n')"))).drop("lines", "drop")
     kept = cut(kept, "kept-lines")
-    fixed = word_traces(kept, known).select("block_id", "fixed")
+    fixed = word_traces(kept, known, neighbour_counts(kept, known)).select("block_id", "fixed")
     flow = kept.join(fixed, "block_id", "left").withColumn("text", F.coalesce("fixed", "text"))
     plain = ~F.col("type").isin("code", "equation", "table")
     flow = flow.withColumn("text", F.when(plain, F.trim(F.regexp_replace("text", r"\s+", " "))).otherwise(F.col("text"))).where("trim(text) <> ''")

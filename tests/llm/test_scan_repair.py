@@ -61,3 +61,12 @@ def test_defined_results_of_odd_rows(spark):
 def test_vocabulary_drops_misread_forms(spark):
     df = spark.createDataFrame([("harmonic",)] * 300 + [("harmomc",)] * 4 + [("horizon",)] * 4, "text string")
     assert sr.frequent_words(sr.word_counts(df)) == {"harmonic": 300, "horizon": 4}
+
+
+def test_neighbours_decide_between_explanations(spark):
+    known = {w: 200 for w in ("the", "boat", "boil", "sails", "water")}
+    df = spark.createDataFrame([("the boat sails",)] * 5 + [("boil water",)] * 5, "text string")
+    pairs = sr.neighbour_counts(df, known)
+    assert pairs == {("the", "boat"): 5, ("boat", "sails"): 5, ("boil", "water"): 5}
+    assert sr.Reader(known).repair("the boak sails", pairs)[1] == "the boat sails"
+    assert sr.Reader({**known, "boar": 900}).repair("the boak sails", pairs)[1] == "the boat sails"
