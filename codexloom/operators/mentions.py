@@ -24,8 +24,10 @@ def metric_blocks(blocks: DataFrame) -> DataFrame:
 
 
 def first_mentions(mentions: DataFrame) -> DataFrame:
-    """The first mention of each folded name per document: mentions (document_id, idx, sub, block_id, name)."""
-    return mentions.groupBy("document_id", tx.fold("name").alias("key")).agg(F.min_by(F.struct("name", "block_id", "idx"), F.struct("idx", "sub")).alias("f")).select("document_id", "key", "f.name", "f.block_id", "f.idx")
+    """The first mention of each folded name per document: mentions (document_id, idx, sub, block_id, name); null names
+    have none. They are dropped after the aggregate, where the filter cannot copy the name's whole derivation below it."""
+    firsts = mentions.groupBy("document_id", tx.fold("name").alias("key")).agg(F.min_by(F.struct("name", "block_id", "idx"), F.struct("idx", "sub")).alias("f"))
+    return firsts.where("f.name is not null").select("document_id", "key", "f.name", "f.block_id", "f.idx")
 
 
 def vocabulary_mentions(blocks: DataFrame, terms: DataFrame) -> DataFrame:
@@ -44,7 +46,7 @@ def dataset_mentions(blocks: DataFrame, configured: DataFrame | None = None, wor
     """(document_id, key, name, block_id, idx): datasets named in entity blocks, configured ones before discovered ones."""
     body = entity_blocks(blocks).select("document_id", "idx", "block_id", "text")
     raw = body.where(F.lower("text").contains("dataset")).select("document_id", "idx", "block_id", F.posexplode(en.dataset_candidates("text")).alias("sub", "candidate"))
-    found = en.with_dataset(raw, "candidate", "name", words).where("name is not null").select("document_id", "idx", "sub", "block_id", "name")
+    found = en.with_dataset(raw, "candidate", "name", words).select("document_id", "idx", "sub", "block_id", "name")
     if configured is not None:
         known = vocabulary_mentions(body, configured).select("document_id", "idx", F.lit(-1).alias("sub"), "block_id", en.canonical_name("term", words).alias("name"))
         listed = first_mentions(known)

@@ -42,10 +42,10 @@ def tfidf_vectors(blocks: DataFrame) -> DataFrame:
     """Sparse unit vectors (block_id, dim, weight): tokens hashed to 512 dimensions, colliding weights added."""
     rows = blocks.where(tx.strip("text") != "").select("block_id", F.explode(tx.tokens("text")).alias("token")).groupBy("block_id", "token").agg(F.count("*").alias("tf"))
     n = blocks.where(tx.strip("text") != "").agg(F.count("*").alias("n_blocks"))
-    df = rows.groupBy("token").agg(F.count("*").alias("df"))
+    df = rows.groupBy("token").agg(F.count("*").alias("df")).withColumn("dim", tx.hash_dimension("token", DIMENSIONS))  # hashed once a token
     weighted = rows.join(df, "token").crossJoin(F.broadcast(n))  # one row
     weight = (1 + F.log("tf")) * (F.log((F.col("n_blocks") + 1) / (F.col("df") + 1)) + 1)
-    hashed = weighted.groupBy("block_id", tx.hash_dimension("token", DIMENSIONS).alias("dim")).agg(F.sum(weight).alias("w"))
+    hashed = weighted.groupBy("block_id", "dim").agg(F.sum(weight).alias("w"))
     norm = hashed.groupBy("block_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return hashed.join(norm, "block_id").select("block_id", "dim", (F.col("w") / F.col("norm")).alias("weight"))
 
@@ -59,7 +59,7 @@ def bm25_scores(blocks: DataFrame, query: str) -> DataFrame:
     wanted = sorted(set(re.findall(_FULL_TEXT, query.lower())))
     whole = F.concat_ws(" ", "title", "section", "text")
     rows = blocks.where(tx.strip("text") != "").select("block_id", full_text_tokens(whole).alias("toks")).withColumn("length", F.size("toks"))
-    counted = rows.select("block_id", "length", *[F.size(F.filter("toks", _equals(w))).alias(f"tf{i}") for i, w in enumerate(wanted)])
+    counted = rows.select("block_id", "length", *[(F.size("toks") - F.size(F.array_remove("toks", w))).alias(f"tf{i}") for i, w in enumerate(wanted)])
     totals = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"n{i}") for i in range(len(wanted))])
     scored = counted.crossJoin(F.broadcast(totals))  # one row
     score = F.lit(0.0)
@@ -73,10 +73,6 @@ def bm25_scores(blocks: DataFrame, query: str) -> DataFrame:
     return scored.where(hit).select("block_id", score.alias("bm25"))
 
 
-def _equals(word: str):  # noqa: ANN202
-    return lambda t: t == word
-
-
 def vector_scores(blocks: DataFrame, query: str, vectors: DataFrame | None = None) -> DataFrame:
     """(block_id, cosine) with the query's vector, built with the corpus's document frequencies."""
     spark = blocks.sparkSession

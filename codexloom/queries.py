@@ -388,12 +388,14 @@ def bm25_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def vector_search(spark: SparkSession, sf: str) -> DataFrame:
-    return search.search(_search_blocks(spark, sf), SEARCH_TEXT, 25, "vector")
+    index = cut(_search_blocks(spark, sf), "index")
+    return search.search(index, SEARCH_TEXT, 25, "vector")
 
 
 @query
 def hybrid_search(spark: SparkSession, sf: str) -> DataFrame:
-    return search.search(_search_blocks(spark, sf), SEARCH_TEXT, 25)
+    index = cut(_search_blocks(spark, sf), "index")
+    return search.search(index, SEARCH_TEXT, 25)
 
 
 @query
