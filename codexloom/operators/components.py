@@ -42,7 +42,7 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
         seen = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_scratch(now)
         now = after
-        if seen == mark:
+        if seen == mark or seen[0] == 0:
             break
         mark = seen
     else:
