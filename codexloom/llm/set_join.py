@@ -3,8 +3,13 @@
 Records walk down random trees (Christiani and Pagh, "Set similarity search beyond MinHash", 2017; Christiani, Pagh and
 Sivertsen, "Scalable and robust set similarity join", 2018). At a node, a record x goes on to the child of each of its
 tokens that a hash of (path, token) picks with probability 1 / (b * |x|); records that pick the same token meet there.
-Nodes with few records are joined by brute force, large ones split again on tokens not yet on their path. Trees are
-repeated until the chance to miss a pair at the threshold is below 1 - target recall; every pair found is verified.
+Nodes with few records are joined by brute force. Trees are repeated until the chance to miss a pair at the threshold is
+below 1 - target recall; every pair found is verified.
+
+Large nodes split without chance, as every further random split would leave a pair fewer shared tokens to meet on: the
+other tokens of a record stand in one order, rare ones first, and a path takes them in that order. Sets of sizes a and b
+that are similar share at least ceil(t / (1 + t) * (a + b)) tokens, hence the next shared one stands at a bounded place
+of both. Once a path is as long as this overlap every pair of its node that has these sizes is similar, and is joined.
 """
 
 from __future__ import annotations
@@ -31,6 +36,11 @@ def tagged_items(records: DataFrame, id_col: str, fields: tuple[str, ...], least
     return merged.where(F.size("items") >= least)
 
 
+def least_overlap(threshold: float, a: Column, b: Column) -> Column:
+    """Tokens that sets of sizes a and b share at least if their Jaccard similarity is >= threshold."""
+    return F.ceil((a + b) * threshold / (1 + threshold) - 1e-9)
+
+
 def trees_needed(threshold: float, branch: float, target_recall: float, depth: int) -> int:
     """Trees so that a pair at the threshold is met with probability >= target_recall.
 
@@ -43,19 +53,26 @@ def trees_needed(threshold: float, branch: float, target_recall: float, depth: i
     return max(1, math.ceil(math.log(1 - target_recall) / math.log(1 - alive)))
 
 
-def _picked(seed: Column, items: Column, n: Column, branch: float, used: Column | None) -> Column:
-    """Tokens that the hash of (path, token) picks."""
+def _picked(seed: Column, items: Column, n: Column, branch: float) -> Column:
+    """Tokens that the hash of (tree, token) picks."""
     limit = (F.lit(2.0**53) / (F.lit(branch) * n)).cast("double")
-    free = items if used is None else F.array_except(items, used)
-    return F.filter(free, lambda i: F.shiftrightunsigned(F.xxhash64(seed, i), 11).cast("double") < limit)
+    return F.filter(items, lambda i: F.shiftrightunsigned(F.xxhash64(seed, i), 11).cast("double") < limit)
+
+
+def _rare_first(rows: DataFrame) -> DataFrame:
+    """(class, side, items) with the items in order of their frequency."""
+    tokens = rows.select("class", "side", F.explode("items").alias("tok"))
+    counted = tokens.join(tokens.groupBy("tok").agg(F.count("*").alias("k")), "tok")
+    return counted.groupBy("class", "side").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "tok"))), lambda x: x["tok"]).alias("items"))
 
 
 def chosen_path_join(sets: DataFrame, threshold: float, other: DataFrame | None = None, target_recall: float = 0.99999, branch: float = 0.2, small: int = 64, depth: int = 6) -> DataFrame:
     """Pairs of different *classes* of equal sets with Jaccard similarity >= threshold: ``(l, r, overlap, similarity)``.
 
     ``sets`` and ``other`` have columns (class, items); a class is a row with distinct items. Without ``other`` pairs
-    lie within ``sets``, l < r; with it, l is of ``sets`` and r of ``other``. Nodes that are still larger than ``small``
-    after ``depth`` levels are joined whole, so no cap drops a pair. Null and empty sets pair with nothing.
+    lie within ``sets``, l < r; with it, l is of ``sets`` and r of ``other``. Only the first token of a path is random;
+    nodes larger than ``small`` lose no pair when they split, and those that are still larger after ``depth`` levels are
+    joined whole, so no cap drops a pair. Null and empty sets pair with nothing.
     """
     two = other is not None
     rows = sets.select(F.col("class"), "items", F.lit(0).alias("side"))
@@ -63,18 +80,20 @@ def chosen_path_join(sets: DataFrame, threshold: float, other: DataFrame | None
         rows = rows.unionByName(other.select(F.col("class"), "items", F.lit(1).alias("side")))
     rows = rows.where(F.size("items") > 0).select("class", "side", F.transform("items", lambda i: F.xxhash64(i)).alias("items"), F.size("items").alias("n"))
     rows = cut(rows, "sets")
-    count = trees_needed(threshold, branch, target_recall, 2)
+    count = trees_needed(threshold, branch, target_recall, 1)
     level = rows.select("class", "side", "n", F.explode(F.sequence(F.lit(1), F.lit(count))).alias("tree"), "items")
-    level = level.select("class", "side", "n", "tree", F.explode(_picked(F.col("tree"), F.col("items"), F.col("n"), branch, None)).alias("tok"))
-    level = level.select("class", "side", "n", F.xxhash64("tree", "tok").alias("node"), F.array("tok").alias("used"))
+    level = level.select("class", "side", "n", "tree", F.explode(_picked(F.col("tree"), F.col("items"), F.col("n"), branch)).alias("tok"))
+    level = level.select("class", "side", "n", F.xxhash64("tree", "tok").alias("node"), F.col("tok").alias("first"), F.lit(0).alias("at"))
     found: DataFrame | None = None
+    ordered: DataFrame | None = None
     for step in range(1, depth + 1):
         level = cut(level, "nodes")
         sizes = level.groupBy("node").agg(F.count("*").alias("k"), F.countDistinct("side").alias("sides")).where("k > 1" + (" and sides = 2" if two else ""))
         last = step == depth
-        leaf = level.join(sizes if last else sizes.where(F.col("k") <= small), "node")
-        left, right = leaf.select("node", F.col("class").alias("l"), F.col("n").alias("nl"), F.col("side").alias("sl")), leaf.select("node", F.col("class").alias("r"), F.col("n").alias("nr"), F.col("side").alias("sr"))
+        leaf = level.join(sizes, "node").withColumn("whole", F.lit(last) | (F.col("k") <= small)).where(F.col("whole") | (least_overlap(threshold, F.col("n"), F.col("n") * threshold) <= step))
+        left, right = leaf.select("node", "whole", F.col("class").alias("l"), F.col("n").alias("nl"), F.col("side").alias("sl")), leaf.select("node", F.col("class").alias("r"), F.col("n").alias("nr"), F.col("side").alias("sr"))
         met = left.join(right, "node").where("sl = 0 and sr = 1" if two else "l < r")
+        met = met.where(F.col("whole") | (least_overlap(threshold, F.col("nl"), F.col("nr")) <= step))
         met = met.where((F.col("nl") >= F.col("nr") * threshold - 1e-9) & (F.col("nr") >= F.col("nl") * threshold - 1e-9)).select("l", "r").distinct()
         found = met if found is None else found.unionByName(met)
         if last:
@@ -82,9 +101,13 @@ def chosen_path_join(sets: DataFrame, threshold: float, other: DataFrame | None
         large = cut(level.join(sizes.where(F.col("k") > small).select("node"), "node"), "large-nodes")
         if large.isEmpty():
             break
-        on = large.join(rows.select("class", "side", "items"), ["class", "side"])
-        on = on.select("class", "side", "n", "node", "used", F.explode(_picked(F.col("node"), F.col("items"), F.col("n"), branch, F.col("used"))).alias("tok"))
-        level = on.select("class", "side", "n", F.xxhash64("node", "tok").alias("node"), F.concat("used", F.array("tok")).alias("used"))
+        if ordered is None:
+            ordered = cut(_rare_first(rows), "ordered-sets")
+        on = large.join(ordered, ["class", "side"]).withColumn("rest", F.array_remove("items", F.col("first")))
+        furthest = F.least(F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + step, F.col("n") - 1)
+        ahead = F.slice("rest", F.col("at") + 1, F.greatest(furthest - F.col("at"), F.lit(0)).cast("int"))
+        on = on.select("class", "side", "n", "node", "first", "at", F.posexplode(ahead).alias("i", "tok"))
+        level = on.select("class", "side", "n", F.xxhash64("node", "tok").alias("node"), "first", (F.col("at") + F.col("i") + 1).alias("at"))
     pairs = cut(found.distinct(), "met-pairs")
     lefts, rights = rows.where("side = 0").select(F.col("class").alias("l"), F.col("items").alias("il")), rows.where(F.col("side") == int(two)).select(F.col("class").alias("r"), F.col("items").alias("ir"))
     exact = pairs.join(lefts, "l").join(rights, "r").withColumn("overlap", F.size(F.array_intersect("il", "ir")))

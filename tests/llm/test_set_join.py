@@ -33,6 +33,21 @@ def test_a_token_of_a_third_of_all_rows_and_deep_splitting(spark):
     assert {(r.left_id, r.right_id) for r in sj.set_pairs(df, 0.6, small=8, depth=4).collect()} == {(500, 501), (500, 502), (501, 502)}
 
 
+@pytest.mark.parametrize("shared,private,k", [(4, 1, 200), (5, 1, 200), (9, 4, 100), (3, 2, 100), (12, 2, 100)])
+def test_more_sets_than_a_node_holds_that_share_all_but_private_items(spark, shared, private, k):
+    df = spark.createDataFrame([(i, [f"s{j}" for j in range(shared)] + [f"x{i}_{j}" for j in range(private)]) for i in range(k)], "id long, items array<string>")
+    similar = shared / (shared + 2 * private) >= 0.6
+    assert sj.set_pairs(df, 0.6).count() == (k * (k - 1) // 2 if similar else 0)
+
+
+def test_large_nodes_of_sets_of_several_sizes(spark):
+    rng = random.Random(5)
+    sets = {i: frozenset([*rng.sample(range(9), rng.randrange(3, 8)), *(100 + 4 * i + k for k in range(rng.randrange(0, 3)))]) for i in range(250)}
+    df = spark.createDataFrame([(i, sorted(map(str, s))) for i, s in sets.items()], "id long, items array<string>")
+    got = {(r.left_id, r.right_id) for r in sj.set_pairs(df, 0.6, small=8).collect()}
+    assert got == {(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.6 - 1e-12}
+
+
 def test_between_two_tables(spark):
     a = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["x", "y", "z"])], "class long, items array<string>")
     b = spark.createDataFrame([(1, ["a", "b", "c", "d"]), (3, ["x", "q"])], "class long, items array<string>")
