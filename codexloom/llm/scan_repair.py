@@ -338,10 +338,21 @@ def _ends_open(col: Column) -> Column:
     return ~col.rlike(r"[.!?:;][\"')\]]*\s*$")
 
 
+def _prose(col: Column, kind: Column) -> Column:
+    """Whether a block that is typed as no part of the running text holds prose: several lower-case words, and a full stop.
+
+    Headers, footers and page numbers are never longer than a line of :func:`page_lines`, nor do they start in lower case.
+    """
+    words = F.size(F.regexp_extract_all(col, F.lit(r"(?<!\p{L})(\p{Ll}{2,})(?!\p{L})"), F.lit(1))) >= 4
+    longer = kind.isin("header", "footer", "page_number") & ((F.length(col) > 100) | col.rlike(r"^\p{Ll}"))
+    return words & (col.rlike(r"\.[\"')\]]*\s*$") | longer)
+
+
 def readable_paragraphs(sections: DataFrame, share: float = 2e-6) -> DataFrame:
     """Continuous paragraphs of scanned files: ``(document_id, paragraph, first_block, n_blocks, text)``.
 
-    Header and page-number lines are dropped, words repaired, lines joined; a block that ends without a full stop goes on
+    Header and page-number lines are dropped, words repaired, lines joined; of blocks typed as title, heading, header,
+    footer or page number those are kept whose remaining text is prose; a block that ends without a full stop goes on
     in the next text block of its document, if that starts in lower case, also over a page break. The window runs
     over *chunks* of 2,000 consecutive blocks, so that one long document never is one sorted group; a paragraph across
     two chunks is joined by the chunk's carried-over first piece.
@@ -356,7 +367,7 @@ def readable_paragraphs(sections: DataFrame, share: float = 2e-6) -> DataFrame:
     flow = kept.join(fixed, "block_id", "left").withColumn("text", F.coalesce("fixed", "text"))
     plain = ~F.col("type").isin("code", "equation", "table")
     flow = flow.withColumn("text", F.when(plain, F.trim(F.regexp_replace("text", r"\s+", " "))).otherwise(F.col("text"))).where("trim(text) <> ''")
-    body = flow.where(plain & ~F.col("type").isin("title", "heading", "header", "footer", "page_number")).select("document_id", "block_id", "idx", "text")
+    body = flow.where(plain & (~F.col("type").isin("title", "heading", "header", "footer", "page_number") | _prose(F.col("text"), F.col("type")))).select("document_id", "block_id", "idx", "text")
     chunk = F.floor(F.col("idx") / 2000)
     order = Window.partitionBy("document_id", "chunk").orderBy("idx", "block_id")
     body = body.withColumn("chunk", chunk)

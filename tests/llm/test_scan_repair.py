@@ -51,6 +51,16 @@ def test_paragraphs_run_on_over_pages(spark):
     assert [(r.first_block, r.n_blocks, r.text) for r in got] == [("a", 2, "The harmonic sensor improves the calibrated archive."), ("c", 1, "Every template follows.")]
 
 
+def test_paragraphs_keep_prose_of_a_wrong_type(spark):
+    kinds = ("header", "footer", "page_number", "title", "heading")
+    extra = [("a", "z", "text", 0, "The harmonic sensor improves the", 1), ("b", "z", "header", 0, "frozen water near the har-\nbour of the river.", 2)]
+    extra += [(f"k{i}", "z", k, i, f"We measured seven kilometres of {k} near the harbour.", 10 + i) for i, k in enumerate(kinds)]
+    extra += [(f"l{i}", "z", k, i, "- 7 -" if k == "page_number" else "Omnibus of the Varnmoor Field Notebooks", 20 + i) for i, k in enumerate(kinds)]
+    got = sr.readable_paragraphs(corpus(spark, extra)).where("document_id = 'z'").orderBy("paragraph").collect()
+    assert [(r.first_block, r.n_blocks) for r in got] == [("a", 2), *((f"k{i}", 1) for i in range(5))]
+    assert got[0].text == "The harmonic sensor improves the frozen water near the harbour of the river."
+
+
 def test_defined_results_of_odd_rows(spark):
     rows = [(None, "d", "text", 0, "har-\nmonic", 0), ("x", None, None, None, "har-\nmonic", None), ("y", None, None, 0, None, None), ("z", "d", "text", 0, "har-\nmonic", 0), ("z", "d", "text", 0, "har-\nmonic", 0), ("w", None, "text", 0, " ", 0)]
     assert [r.block_id for r in sr.scan_traces(corpus(spark, rows)).collect()] == ["z"]
