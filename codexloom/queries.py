@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from .operators import components, delta, graphs, mentions, records, search, sec
 from .queries_sql import ORACLE
 from .sinks import exports, reports
 from .sources import files as sources
-from .storage import cut, table
+from .storage import cut, scratch_path, table
 from .streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,9 +61,23 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return p2_delta(spark, sf).select("document_id", "stage")
 
 
+def _next_run(spark: SparkSession, sf: str, at: datetime | None) -> DataFrame:
+    """What is due, by a run that starts from the state that the run at the time ``at`` left."""
+    manifest, ledger = table(spark, sf, "manifest"), table(spark, sf, "stage_ledger")
+    state = None if at is None else delta.close_run(manifest, ledger, scratch_path(spark, "run-state"), at)
+    return delta.incremental_delta(manifest, ledger, state)
+
+
 @query
 def p2_delta(spark: SparkSession, sf: str) -> DataFrame:
-    return delta.incremental_delta(table(spark, sf, "manifest"), table(spark, sf, "stage_ledger"))
+    """The next run after the last one of the ledger."""
+    return _next_run(spark, sf, delta.last_logged(table(spark, sf, "stage_ledger")))
+
+
+@query
+def p2_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the state of a run in the midst of the ledger, so that half of the rows come from the window."""
+    return _next_run(spark, sf, table(spark, sf, "stage_ledger").select(F.percentile_approx("recorded_at", 0.5)).first()[0])
 
 
 # --- files to works ---

@@ -59,6 +59,10 @@ with cur as (
 )
 """
 _P2_LEFT = "not exists (select 1 from logged l where l.document_id = o.document_id and l.stage = o.stage and l.version = o.version and l.done)"
+_P2_DELTA = f"""{_P2} select document_id, stage, version, updated_at,
+        case when exists (select 1 from logged l where l.document_id = o.document_id and l.stage = o.stage and l.version = o.version) then 'retry'
+             when exists (select 1 from logged l where l.document_id = o.document_id and l.stage = o.stage) then 'changed' else 'new' end as reason
+        from open o where {_P2_LEFT}"""
 _TOKENS = r"regexp_extract_all(lower({0}), '[a-z0-9][a-z0-9_.+-]{{1,}}')"
 _FT = r"regexp_extract_all(translate(lower(concat_ws(' ', title, section, text)), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[a-z0-9]+')"
 _DIM = "(('0x' || left(sha256(token), 8))::ubigint % 512)::int"
@@ -120,10 +124,8 @@ labels as (select work_id, facet, label_id, count(*) as n_blocks, string_agg(blo
 
 ORACLE: dict[str, str] = {
     "p2_found": f"{_P2} select document_id, stage from open o where {_P2_LEFT}",
-    "p2_delta": f"""{_P2} select document_id, stage, version, updated_at,
-        case when exists (select 1 from logged l where l.document_id = o.document_id and l.stage = o.stage and l.version = o.version) then 'retry'
-             when exists (select 1 from logged l where l.document_id = o.document_id and l.stage = o.stage) then 'changed' else 'new' end as reason
-        from open o where {_P2_LEFT}""",
+    "p2_delta": _P2_DELTA,
+    "p2_resumed": _P2_DELTA,
     "exact_dedup": "select doc_id, sha256(text) as sha256, min(doc_id) over (partition by sha256(text)) as canonical, min(doc_id) over (partition by sha256(text)) <> doc_id as is_duplicate from documents where text is not null",
     "document_ids": "select doc_id, 'doc_' || left(sha256(text), 16) as document_id from documents where text is not null",
     "title_normalize": rf"""select title, {clean('title')} as clean,

@@ -72,3 +72,65 @@ def test_hashes(spark, value, clean):
     from pyspark.sql import functions as F
 
     assert spark.createDataFrame([(value,)], "x string").select(delta.clean_hash(F.col("x"))).first()[0] == clean
+
+
+def at(day):
+    return datetime(2024, 1, day)
+
+
+def frames(spark, files, log):
+    return spark.createDataFrame(files, MANIFEST), spark.createDataFrame(log, LEDGER)
+
+
+def after(spark, tmp_path, before, now, day, log_before=(), log_now=()):
+    """{(document, stage): reason} of the run that starts from the state closed on ``day``."""
+    state = delta.close_run(*frames(spark, before, list(log_before)), str(tmp_path / "state"), at(day))
+    rows = delta.incremental_delta(*frames(spark, now, list(log_now)), state).collect()
+    assert len(rows) == len({(r.document_id, r.stage) for r in rows})
+    return {(r.document_id, r.stage): r.reason for r in rows}
+
+
+def test_rows_before_the_watermark_are_not_read(spark, tmp_path):
+    """Fails if the watermark's filter is taken out: no transaction was open, so d8 breaks its promise."""
+    before = [file("d1", H["a"], 2)]
+    assert after(spark, tmp_path, before, [*before, file("d8", H["b"], 4), file("d9", H["c"], 12)], 10) == {("d1", "extraction"): "new", ("d1", "analysis"): "new", ("d9", "extraction"): "new", ("d9", "analysis"): "new"}
+
+
+def test_a_transaction_open_at_the_last_run_may_commit_late(spark, tmp_path):
+    before, log = [file("d1", H["a"], 2)], [run(1, "d1", "extraction", H["a"], "running", 9), run(2, "d1", "analysis", H["a"], "complete", 9)]
+    state = delta.close_run(*frames(spark, before, log), str(tmp_path / "s"), datetime(2024, 1, 9, 12))
+    assert {r.stage: r.updated_at for r in state.where("document_id is null").collect()} == {"extraction": at(9), "analysis": datetime(2024, 1, 9, 12)}
+    late = file("d2", H["b"], 9)
+    rows = delta.incremental_delta(*frames(spark, [*before, late], [*log, run(3, "d1", "extraction", H["a"], "complete", 10)]), state).collect()
+    assert {(r.document_id, r.stage) for r in rows} == {("d2", "extraction")}
+
+
+def test_left_over_records_are_taken_until_completed_superseded_or_skipped(spark, tmp_path):
+    before = [file(f"d{i}", H["a"], 2) for i in range(5)]
+    now = [*before, file("d1", H["b"], 12), file("d2", H["a"], 12, ext="skipped"), file("d3", None, 12)]
+    log = [run(1, "d0", "extraction", H["a"], "complete", 12), run(2, "d1", "analysis", H["a"], "failed", 12), run(3, "d4", "analysis", H["a"], "failed", 12)]
+    assert after(spark, tmp_path, before, now, 10, (), log) == {("d0", "analysis"): "new", ("d1", "extraction"): "new", ("d1", "analysis"): "changed", ("d2", "analysis"): "new", ("d4", "extraction"): "new", ("d4", "analysis"): "retry"}
+
+
+def test_a_touched_row_is_not_repeated(spark, tmp_path):
+    """A row written again after the watermark whose version was completed long before it."""
+    before, log = [file("d1", H["a"], 2)], [run(1, "d1", s, H["a"], "complete", 3) for s in delta.STAGES]
+    assert after(spark, tmp_path, before, [*before, file("d1", H["a"], 12)], 10, log, log) == {}
+
+
+def test_a_chain_of_runs_equals_one_full_read(spark, tmp_path):
+    files = [file(f"d{i % 7}", H["abcd"[(i * i) % 4]], 1 + i) for i in range(20)]
+    log = [run(i, f"d{i % 5}", delta.STAGES[i % 2], H["abcd"[i % 4]], ("complete", "failed", "running")[i % 3], 2 + i) for i in range(24)]
+    state = None
+    for n, day in enumerate((5, 11, 12, 19)):
+        state = delta.close_run(*frames(spark, files, log), str(tmp_path / f"run{n}"), at(day), state)
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(delta.incremental_delta(*frames(spark, files, log), state)) == key(delta.incremental_delta(*frames(spark, files, log)))
+
+
+def test_states_of_empty_tables_and_of_other_stages(spark, tmp_path):
+    state = delta.close_run(*frames(spark, [], []), str(tmp_path / "s"), at(10))
+    assert delta.incremental_delta(*frames(spark, [], []), state).count() == 0
+    assert delta.last_logged(spark.createDataFrame([], LEDGER)) is None
+    with pytest.raises(ValueError):
+        delta.incremental_delta(*frames(spark, [], []), state, ("ingestion",))
