@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,13 +26,21 @@ _SIZE = re.compile(r"[0-9]+(?:k(?![a-z])|m(?![a-z])|b(?![a-z])|d(?![a-z]))?")
 _TOKEN = re.compile(r"[a-z]+\.?|[0-9]+(?:[a-z](?![a-z]))?")
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Unrestricted Damerau-Levenshtein distance: insert, delete, replace, and swap of neighbours, a true metric."""
+def edit_distance(a: str, b: str, bound: int | None = None) -> int:
+    """Unrestricted Damerau-Levenshtein distance: insert, delete, replace, and swap of neighbours, a true metric.
+
+    A distance above ``bound`` may come out as any number above it: the least value of a row never falls from row to
+    row, nor is the distance below the difference of the lengths.
+    """
     if a == b:
         return 0
     if not a or not b:
         return len(a) + len(b)
     far = len(a) + len(b)
+    if bound is None:
+        bound = far
+    elif abs(len(a) - len(b)) > bound:
+        return bound + 1
     last: dict[str, int] = {}
     d = [[far] * (len(b) + 2), [far, *range(len(b) + 1)]]
     for i, x in enumerate(a, 1):
@@ -48,6 +57,8 @@ def edit_distance(a: str, b: str) -> int:
             if k and m and (swap := d[k][m] + i - k + j - m - 1) < best:
                 best = swap
             row.append(best)
+        if min(row) > bound:
+            return bound + 1
         last[x] = i
         d.append(row)
     return d[-1][-1]
@@ -76,7 +87,7 @@ class BKTree:
         found, stack = [], [self.root] if self.root else []
         while stack:
             entry, children = stack.pop()
-            gap = edit_distance(word, entry)
+            gap = edit_distance(word, entry, most + max(children, default=0))  # beyond that no child can be near
             if gap <= most:
                 found.append((entry, gap))
             stack.extend(child for at, child in children.items() if gap - most <= at <= gap + most)
@@ -154,12 +165,11 @@ class Matcher:
                     if words is not short:
                         self.long.add((key, entity))
         self.tree = BKTree(sorted(self.forms))
-        self.holders: dict[str, set[int]] = {}  # by word, and by the first letters of a word
+        self.near: dict[str, list[tuple[str, int]]] = {}
+        self.holders: dict[str, set[int]] = {}
         for entity, lists in self.words.items():
-            for word in {w for words in lists if len(words) > 1 for w in words}:
+            for word in spelled_words(lists):
                 self.holders.setdefault(word, set()).add(entity)
-                for n in range(3, len(word)):
-                    self.holders.setdefault(word[:n] + ".", set()).add(entity)
 
     def _agrees(self, entity: int, words: list[str], key: str) -> bool:
         mine = sizes("".join(words))
@@ -168,32 +178,45 @@ class Matcher:
         last = words[-1] if len(words) > 1 and len(words[-1]) == 1 and words[-1].isalpha() else ""
         return not (last and self.single[entity] and last != self.single[entity])
 
-    def _foreign(self, entity: int, words: list[str]) -> bool:
-        """Whether a word is spelled as other entries have it and this one has not: it is no misspelling then."""
-        own = {w for known in self.words[entity] for w in known}
-        return any(len(w) > 2 and w in self.holders and w not in own for w in words)
+    def candidates(self, value: str | None) -> list[tuple[int, int, tuple[str, ...]]]:
+        """(entity_id, edits, doubts) of every entry within reach; edits are -1 where a form is spelled exactly.
 
-    def match(self, value: str | None) -> tuple[int, int] | None:
-        """(entity_id, edits) of the one closest entry, None if there is none or several are as close."""
-        best: dict[int, int] = {}
+        ``doubts`` are the words that the entry has not: if one is a word of other entries, it is no misspelling.
+        Each entry is judged by itself, so that the candidates of a list are those of its parts.
+        """
         read = readings(value)
+        out: dict[tuple[int, int, tuple[str, ...]], None] = {}
         for words in read:  # spelled exactly: nothing can be closer
             for key in {"".join(bare := [x.rstrip(".") for x in words]), "".join(sorted(bare))}:
-                best |= {entity: 0 for entity in self.forms.get(key, ()) if self._agrees(entity, words, key)}
-        for words in () if best else read:
+                out |= {(entity, -1, ()): None for entity in self.forms.get(key, ()) if self._agrees(entity, words, key)}
+        for words in () if out else read:
             for key, entity, gap in self._near(words):
-                if (gap == 0 or not self._foreign(entity, words)) and self._agrees(entity, words, key) and gap < best.get(entity, 99):
-                    best[entity] = gap
+                if self._agrees(entity, words, key):
+                    own = {w for known in self.words[entity] for w in known}
+                    out[entity, gap, tuple(sorted({w for w in words if len(w) > 2 and w not in own})) if gap else ()] = None
+        return list(out)
+
+    def match(self, value: str | None) -> tuple[int, int] | None:
+        """(entity_id, edits) of the one closest entry, None if there is none or several are as close."""
+        best: dict[int, int] = {}
+        for entity, edits, doubts in self.candidates(value):
+            if edits < best.get(entity, 99) and not any(w in self.holders for w in doubts):
+                best[entity] = edits
         if not best:
             return None
         least = min(best.values())
         winners = [k for k, v in best.items() if v == least]
-        return (winners[0], least) if len(winners) == 1 else None
+        return (winners[0], max(least, 0)) if len(winners) == 1 else None
 
     def _near(self, words: list[str]) -> Iterator[tuple[str, int, int]]:
         bare = [x.rstrip(".") for x in words]
         for key in dict.fromkeys(("".join(bare), "".join(sorted(bare)))):
-            for form, gap in self.tree.within(key, allowed(key)):
+            found = self.near.get(key)
+            if found is None:
+                found = self.tree.within(key, allowed(key))
+                if len(self.near) < 200_000:
+                    self.near[key] = found
+            for form, gap in found:
                 if gap <= min(allowed(form), allowed(key)):
                     for entity in self.forms[form]:
                         yield form, entity, gap
@@ -204,6 +227,12 @@ class Matcher:
                     yield "".join(known), entity, gap
 
 
+def spelled_words(lists: list[list[str]]) -> set[str]:
+    """Words of the forms of several words, and their first letters with a point, as a word that is cut short has them."""
+    whole = {w for words in lists if len(words) > 1 for w in words}
+    return whole | {word[:n] + "." for word in whole for n in range(3, len(word))}
+
+
 def _word_gap(words: list[str], known: list[str]) -> int | None:
     """Edits that turn the words, in any order, into the known ones; a cut word (``Graik.``) costs nothing."""
     left, total = list(known), 0
@@ -212,7 +241,7 @@ def _word_gap(words: list[str], known: list[str]) -> int | None:
             hits = [(0, x) for x in left if x.startswith(word[:-1])]
         else:
             bare = word.rstrip(".")
-            hits = [(edit_distance(bare, x), x) for x in left if abs(len(bare) - len(x)) <= 2]
+            hits = [(edit_distance(bare, x, 2), x) for x in left if abs(len(bare) - len(x)) <= 2]
         if not hits:
             return None
         gap, x = min(hits)
@@ -228,51 +257,77 @@ def _matchers(entries: pd.DataFrame) -> dict[str, Matcher]:
 
 
 _RESULT = "kind string, name string, entity_id long, edits int"
+_CANDIDATES = "kind string, name string, entity_id long, edits int, doubt string"
+#: Matchers of this Python worker, by the broadcast that holds their entries: built once a worker, not once a task.
+_built: dict[str, dict[str, Matcher]] = {}
 
 
-def _rows(matchers: dict[str, Matcher], kinds: pd.Series, names: pd.Series) -> pd.DataFrame:
-    hits = [(m.match(n) if (m := matchers.get(k)) else None) for k, n in zip(kinds, names)]
-    return pd.DataFrame({"kind": list(kinds), "name": list(names), "entity_id": pd.array([h and h[0] for h in hits], dtype="Int64"), "edits": pd.array([h and h[1] for h in hits], dtype="Int32")})
+def _candidate_rows(values: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+    """Candidates of one cell of values and entries; typed, whatever is empty."""
+    matchers = _matchers(entries)
+    rows = [(k, n, e, edits, " ".join(doubts)) for k, n in zip(values.kind, values["name"]) if k in matchers for e, edits, doubts in matchers[k].candidates(n)]
+    return pd.DataFrame(rows, columns=["kind", "name", "entity_id", "edits", "doubt"]).astype({"kind": "object", "name": "object", "entity_id": "int64", "edits": "int32", "doubt": "object"})
 
 
-def map_to_canonical(values: DataFrame, reference: DataFrame, broadcast_limit: int = 50_000, shard_size: int = 20_000, spread: int = 16) -> DataFrame:
+def _sharded(wanted: DataFrame, entries: DataFrame, shard_size: int, cell_values: int) -> DataFrame:
+    """Matches by shards of the reference list: every shard names its candidates, which are settled after the merge.
+
+    A cell joins at most about ``shard_size`` entries of one kind and ``cell_values`` values, whatever the sizes of the
+    tables. Words of other entries are known from a table of all words, not of the shard.
+    """
+    kinds = entries.groupBy("kind").agg(F.ceil(F.count("*") / F.lit(shard_size)).cast("int").alias("shards"))
+    spread = wanted.groupBy("kind").agg(F.ceil(F.count("*") / F.lit(cell_values)).cast("int").alias("salts"))
+    plan = kinds.join(spread, "kind")
+    ref = entries.join(plan, "kind").withColumn("shard", F.pmod(F.xxhash64("entity_id"), "shards")).select("entity_id", "kind", "name", "full_name", "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    asked = wanted.join(plan, "kind").withColumn("salt", F.pmod(F.xxhash64("name"), "salts").cast("int")).select("kind", "name", "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards").cast("long") - 1)).alias("shard"))
+    cell = ["kind", "shard", "salt"]
+    near = asked.groupBy(*cell).cogroup(ref.groupBy(*cell)).applyInPandas(lambda a, b: _candidate_rows(a, b), _CANDIDATES)
+    near = cut(near, "canonical-candidates")
+
+    def spelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            held = {k: m.holders for k, m in _matchers(pdf).items()}
+            yield pd.DataFrame([(k, w) for k, words in held.items() for w in words], columns=["kind", "word"]).astype("object")
+
+    known = entries.mapInPandas(spelled, "kind string, word string").distinct()
+    wrong = near.select("kind", "name", "entity_id", "doubt", F.explode(F.split("doubt", " ")).alias("word")).join(known, ["kind", "word"], "left_semi").select("kind", "name", "entity_id", "doubt").distinct()
+    kept = near.join(wrong, ["kind", "name", "entity_id", "doubt"], "left_anti")
+    # The closest entry is the least of the pairs (edits, id); it is the only one as close if it is the last as well.
+    ends = kept.groupBy("kind", "name").agg(F.min(F.struct("edits", "entity_id")).alias("a"), F.min(F.struct("edits", (-F.col("entity_id")).alias("e"))).alias("b"))
+    won = ends.where("a.entity_id = -b.e").select("kind", "name", "a.entity_id", F.greatest("a.edits", F.lit(0)).alias("edits"))
+    return wanted.join(won, ["kind", "name"], "left")
+
+
+def map_to_canonical(values: DataFrame, reference: DataFrame, broadcast_limit: int = 50_000, shard_size: int = 20_000, cell_values: int = 20_000) -> DataFrame:
     """Rows of distinct (kind, name) of ``values`` with ``entity_id`` and ``edits`` of the entry meant, else nulls.
 
     ``reference`` has (entity_id, kind, name, full_name). A value matches the one entry of its kind that is closest in
     spelling, short or long form, with words around it; numbers and size marks have to agree. If two entries are as
     close, the value is unmatched, as are null and blank ones. References of up to ``broadcast_limit`` rows (counted
-    here) are one tree a kind, broadcast; longer ones are split into shards, whose winners are merged: a value that
-    wins with the same number of edits in two shards is unmatched. Empty tables and further columns are allowed.
+    here) are one tree a kind, broadcast; longer ones are split into shards, whose candidates are merged and settled
+    together, with the same result. Of repeated ids the least name counts. Empty tables and further columns are allowed.
     """
     spark = values.sparkSession
     wanted = values.select("kind", "name").where("kind is not null and name is not null and trim(name) <> ''").distinct()
-    entries = reference.select(F.col("entity_id").cast("long").alias("entity_id"), "kind", "name", "full_name").where("entity_id is not null and kind is not null and name is not null").dropDuplicates(["entity_id"])
-    n = entries.count()
-    if n <= broadcast_limit:
-        held = spark.sparkContext.broadcast(entries.toPandas())
-
-        def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            matchers = _matchers(held.value)
-            for pdf in batches:
-                yield _rows(matchers, pdf.kind, pdf["name"])
-
-        parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        found = wanted.repartition(parts).mapInPandas(look_up, _RESULT)
-    else:
-        shards = -(-n // shard_size)
-        copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("salt")
-        ref = entries.withColumn("shard", F.pmod(F.xxhash64("entity_id"), F.lit(shards)).cast("int")).select("*", copies)
-        asked = wanted.withColumn("salt", F.pmod(F.xxhash64("kind", "name"), F.lit(spread)).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-        near = asked.groupBy("shard", "salt").cogroup(ref.groupBy("shard", "salt")).applyInPandas(lambda a, b: _rows(_matchers(b), a.kind, a["name"]), _RESULT)
-        least = near.groupBy("kind", "name").agg(F.min("edits").alias("edits"))
-        won = near.where("entity_id is not null").join(least, ["kind", "name", "edits"]).groupBy("kind", "name").agg(F.min("entity_id").alias("entity_id"), F.min("edits").alias("edits"), F.count("*").alias("k")).where("k = 1")
-        found = wanted.join(won.select("kind", "name", "entity_id", "edits"), ["kind", "name"], "left")
-    return cut(found, "canonical-names")
+    rows = reference.select(F.col("entity_id").cast("long").alias("entity_id"), "kind", "name", "full_name").where("entity_id is not null and kind is not null and name is not null")
+    entries = rows.groupBy("entity_id").agg(F.min(F.struct("name", "full_name", "kind")).alias("e")).select("entity_id", "e.kind", "e.name", "e.full_name")
+    if entries.count() > broadcast_limit:
+        return cut(_sharded(wanted, entries, shard_size, cell_values), "canonical-names")
+    held, key = spark.sparkContext.broadcast(entries.toPandas()), uuid.uuid4().hex
+
+    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if key not in _built:
+            _built.clear()
+            _built[key] = _matchers(held.value)
+        for pdf in batches:
+            hits = [m.match(n) if (m := _built[key].get(k)) else None for k, n in zip(pdf.kind, pdf["name"])]
+            yield pd.DataFrame({"kind": pdf.kind, "name": pdf["name"], "entity_id": pd.array([h and h[0] for h in hits], dtype="Int64"), "edits": pd.array([h and h[1] for h in hits], dtype="Int32")})
+
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return cut(wanted.repartition(parts).mapInPandas(look_up, _RESULT), "canonical-names")
 
 
 def matched_mentions(mentions: DataFrame, reference: DataFrame, **options: int) -> DataFrame:
     """``(mention_id, kind, name, entity_id, edits)`` of every mention, one row each; entity_id is null where unmatched."""
     rows = mentions.select("mention_id", "kind", "name").distinct()
     return rows.join(map_to_canonical(rows, reference, **options), ["kind", "name"], "left").select("mention_id", "kind", "name", "entity_id", "edits")
-
-

@@ -39,6 +39,8 @@ def test_tree_equals_a_scan(most):
     for _ in range(40):
         q = "".join(rng.choice("abcd") for _ in range(rng.randrange(0, 9)))
         assert sorted(tree.within(q, most)) == sorted((e, ca.edit_distance(q, e)) for e in entries if ca.edit_distance(q, e) <= most)
+        e = rng.choice(entries)
+        assert min(ca.edit_distance(q, e, most), most + 1) == min(ca.edit_distance(q, e), most + 1)
     assert ca.BKTree([]).within("a", 2) == []
 
 
@@ -55,9 +57,37 @@ def test_table_broadcast_and_sharded(spark):
     rows = [(i, k, n, "clash", "clash") for i, (k, n, _) in enumerate(CASES)] + [(0, CASES[0][0], CASES[0][1], "clash", "clash"), (90, None, "PKR", None, None), (91, "data", None, None, None), (92, "none such", "PKR", None, None), (93, "data", "x" * 20_000, None, None)]
     want = sorted([(i, e) for i, (_, _, e) in enumerate(CASES)] + [(90, None), (91, None), (92, None), (93, None)])
     assert mapped(spark, rows, ENTRIES) == want
-    sharded = dict(mapped(spark, rows, ENTRIES, broadcast_limit=0, shard_size=3, spread=2))
-    assert all(sharded[i] == e for i, e in want if e is not None)
+    for size in (1, 3, 100):
+        assert mapped(spark, rows, ENTRIES, broadcast_limit=0, shard_size=size, cell_values=5) == want
+
+
+def test_ties_and_other_entries_words_across_shards(spark):
+    entries = [(1, "data", "kestral region", None), (2, "data", "lomvik basin", None), (3, "data", "harmonix", None), (4, "data", "harmonit", None), (5, "data", "harmxnxs", None)]
+    rows = [(1, "data", "harmonis", None, None), (2, "data", "kestral basin", None, None), (3, "data", "kestrol region", None, None)]
+    want = mapped(spark, rows, entries)
+    assert want == [(1, None), (2, None), (3, 1)]
+    for size in (1, 2, 5):
+        assert mapped(spark, rows, entries, broadcast_limit=0, shard_size=size, cell_values=2) == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_lists_match_alike_whatever_the_shards(spark, seed):
+    """Words of a small alphabet, so that ties, misspellings and words of other entries are common."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abe") for _ in range(rng.randrange(3, 8)))
+    name = lambda: " ".join(word() for _ in range(rng.randrange(1, 4)))
+    entries = [(i, rng.choice("xy"), name(), rng.choice([None, name()])) for i in range(60)]
+    rows = []
+    for i in range(200):
+        typed = list(rng.choice(entries)[2] if rng.random() < 0.8 else name())
+        for _ in range(rng.randrange(0, 3)):
+            typed[rng.randrange(len(typed))] = rng.choice("abe .")
+        rows.append((i, rng.choice("xy"), "".join(typed), None, None))
+    want = mapped(spark, rows, entries)
+    assert sum(e is None for _, e in want) > 20 and sum(e is not None for _, e in want) > 20
+    assert mapped(spark, rows, entries, broadcast_limit=0, shard_size=7, cell_values=40) == want
 
 
 def test_empty(spark):
+    assert mapped(spark, [], ENTRIES, broadcast_limit=0) == [] and mapped(spark, [(1, "data", "PKR", None, None)], [], broadcast_limit=-1) == [(1, None)]
     assert mapped(spark, [], ENTRIES) == [] and mapped(spark, [(1, "data", "PKR", None, None)], []) == [(1, None)]
