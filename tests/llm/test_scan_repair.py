@@ -22,8 +22,11 @@ def reader():
     ("the river\nhorizon", [], "the river\nhorizon"), ("", [], ""), ("x" * 30_000, [], "x" * 30_000),
 ])
 def test_words(reader, text, kinds, fixed):
-    got = reader.repair(text)
-    assert got[0] == kinds and (not kinds or got[1] == fixed)
+    got, repaired, choices = reader.repair(text)
+    for c in choices:
+        best = max(c["options"], key=lambda o: (o["n"], o["shown"]))["shown"]
+        got, repaired = sorted({*got, "spacing" if " " in best else "glyph"}), repaired.replace(sr.mark(c["k"]), best)
+    assert got == kinds and (not kinds or repaired == fixed)
 
 
 def blocks(spark, rows):
@@ -68,15 +71,41 @@ def test_defined_results_of_odd_rows(spark):
     assert sr.scan_traces(empty).count() == 0 and sr.readable_paragraphs(empty).count() == 0
 
 
-def test_vocabulary_drops_misread_forms(spark):
-    df = spark.createDataFrame([("harmonic",)] * 300 + [("harmomc",)] * 4 + [("horizon",)] * 4, "text string")
-    assert sr.frequent_words(sr.word_counts(df)) == {"harmonic": 300, "horizon": 4}
+def test_vocabulary_drops_misread_forms_by_ratios_alone(spark):
+    for times in (1, 40):
+        df = spark.createDataFrame([("harmonic",)] * 300 * times + [("harmomc",)] * 4 * times + [("horizon",)] * 4, "text string")
+        assert {r.word: r.n for r in sr.frequent_words(sr.word_counts(df)).collect()} == {"harmonic": 300 * times, "horizon": 4}
 
 
-def test_neighbours_decide_between_explanations(spark):
-    known = {w: 200 for w in ("the", "boat", "boil", "sails", "water")}
-    df = spark.createDataFrame([("the boat sails",)] * 5 + [("boil water",)] * 5, "text string")
-    pairs = sr.neighbour_counts(df, known)
-    assert pairs == {("the", "boat"): 5, ("boat", "sails"): 5, ("boil", "water"): 5}
-    assert sr.Reader(known).repair("the boak sails", pairs)[1] == "the boat sails"
-    assert sr.Reader({**known, "boar": 900}).repair("the boak sails", pairs)[1] == "the boat sails"
+def traced(spark, text, corpus, known, **options):
+    words = spark.createDataFrame(list(known.items()), "word string, n long")
+    found = sr.word_traces(spark.createDataFrame([("b", "text", text)], "block_id string, type string, text string"), spark.createDataFrame([(x,) for x in corpus], "text string"), words, **options).collect()
+    return [(r.kinds, r.fixed) for r in found]
+
+
+def test_neighbours_decide_between_explanations_and_reject_those_without_support(spark):
+    known = {w: 200 for w in ("the", "boat", "boil", "sails", "water")} | {"boar": 900}
+    corpus = ["the boat sails"] * 5 + ["boil water"] * 5
+    assert traced(spark, "the boak sails", corpus, known) == [(["glyph"], "the boat sails")]
+    assert traced(spark, "over boak beds", corpus, known) == []
+    assert traced(spark, "tlie water", corpus, known) == [(["glyph"], "the water")]  # glyphs need no support
+
+
+def test_any_vocabulary_size_and_partitioning_gives_one_result(spark):
+    """The vocabulary broadcast or asked for by chunks, on 1 and 50 partitions, with whatever a worker has read before."""
+    odd = ["we saw tlie har-\nmonic sen sor of the archive", "we saw tlie", "the har0our and the s1x rivcr wavelike", "h a r b o u r and cali- bra-\nted archives", "7 k1lometres of frozcn water, tlie horizonof the riuer", "The calibratedarchive", ""]
+    rows = [(f"f{k}", f"d{k % 3}", "text", k % 7, SENTENCES[k % 3] + ".", 100 + k) for k in range(90)] + [(f"o{k}", "d9", "text", k, odd[k % len(odd)], k) for k in range(len(odd))]
+    df = blocks(spark, rows)
+    known = sr.frequent_words(sr.word_counts(df))
+    key = lambda out: sorted((r.block_id, tuple(r.kinds), r.fixed) for r in out.collect())
+    want = key(sr.word_traces(df.repartition(1), df, known))
+    assert len(want) == 6
+    assert key(sr.word_traces(df.repartition(50), df, known)) == want
+    assert key(sr.word_traces(df.repartition(5), df, known, 0)) == want
+
+
+def test_all_neighbours_or_those_wanted(spark):
+    texts = spark.createDataFrame([("the boat sails the boat",), (None,), ("",)], "text string")
+    wanted = spark.createDataFrame([("the", "boat"), ("boat", "boil")], "a string, b string")
+    for limit in (0, 10):
+        assert [(r.a, r.b, r.n) for r in sr.neighbour_counts(texts, wanted, limit).collect()] == [("the", "boat", 2)]
