@@ -112,7 +112,7 @@ def neighbour_counts(texts: DataFrame, wanted: DataFrame, limit: int = 500_000)
             total: Counter[tuple[str, str]] = Counter()
             for text in batch.column(0).to_pylist():
                 row = _WORD.findall(text.lower())
-                total.update(zip(row, row[1:]) if pairs is None else pairs.intersection(zip(row, row[1:])))
+                total.update(p for p in zip(row, row[1:]) if pairs is None or p in pairs)
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in total], pa.string()), pa.array([b for _, b in total], pa.string()), pa.array(list(total.values()), pa.int64())], names=["a", "b", "n"])
 
     rows = texts.select("text").where("text is not null").mapInArrow(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
