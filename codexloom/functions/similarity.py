@@ -1,14 +1,60 @@
-"""Similarities that need more than an expression: the matching-blocks ratio, and its cheap upper bounds."""
+"""Similarities that need more than an expression: the matching-blocks ratio, its upper bounds, and joins in cells."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_SIGNS = "abcdefghijklmnopqrstuvwxyz0123456789"
+_CODES = {ch: k for k, ch in enumerate(_SIGNS)}
+_OTHER, _PAD, _WORD = len(_SIGNS), len(_SIGNS) + 1, 63
+
+
+def common_subsequence(left: list[str], right: list[str]) -> np.ndarray:
+    """At least the length of the longest common subsequence of each pair: equal for keys of letters and digits, other
+    signs count as one. Bit-parallel over all pairs at once (Hyyro, 2004); longer keys one by one in long integers."""
+    short = [a if len(a) <= len(b) else b for a, b in zip(left, right)]
+    long = [b if len(a) <= len(b) else a for a, b in zip(left, right)]
+    out = np.zeros(len(short), dtype=np.int64)
+    few = np.array([0 < len(a) <= _WORD for a in short], dtype=bool)
+    rows = np.flatnonzero(few)
+    if len(rows):
+        index = {a: k for k, a in enumerate(dict.fromkeys(short[i] for i in rows))}
+        masks = np.zeros((len(index), _PAD + 1), dtype=np.uint64)
+        for a, k in index.items():
+            for at, ch in enumerate(a):
+                masks[k, _CODES.get(ch, _OTHER)] |= np.uint64(1 << at)
+        most = max(len(long[i]) for i in rows)
+        seen = {b: k for k, b in enumerate(dict.fromkeys(long[i] for i in rows))}
+        codes = np.full((len(seen), most), _PAD, dtype=np.uint8)
+        for b, k in seen.items():
+            codes[k, : len(b)] = [_CODES.get(ch, _OTHER) for ch in b]
+        own, other = np.array([index[short[i]] for i in rows]), np.array([seen[long[i]] for i in rows])
+        state = np.full(len(rows), np.uint64(2**64 - 1))
+        for j in range(most):
+            met = state & masks[own, codes[other, j]]
+            state = (state + met) | (state - met)
+        inside = np.array([(1 << len(short[i])) - 1 for i in rows], dtype=np.uint64)
+        out[rows] = np.bitwise_count(~state & inside)
+    for i in np.flatnonzero(~few):
+        a, full = short[i], (1 << len(short[i])) - 1
+        place: dict[str, int] = {}
+        for at, ch in enumerate(a):
+            key = ch if ch in _CODES else ""
+            place[key] = place.get(key, 0) | 1 << at
+        state = full
+        for ch in long[i]:
+            met = state & place.get(ch if ch in _CODES else "", 0)
+            state = ((state + met) | (state - met)) & full
+        out[i] = len(a) - state.bit_count()
+    return out
+
 
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -16,6 +62,24 @@ def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a is not None and b is not None else 0.0 for a, b in zip(left, right)])
 
 
+def ratio_at_least(threshold: float) -> Callable[[Column | str, Column | str], Column]:
+    """:func:`sequence_ratio` where it reaches ``threshold``, else 0. The matching blocks are a common subsequence, whose
+    length settles nearly all pairs at once."""
+
+    @F.pandas_udf(T.DoubleType())
+    def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = np.zeros(len(left))
+        rows = [i for i, (a, b) in enumerate(zip(left, right)) if a is not None and b is not None]
+        a, b = [left.iloc[i] for i in rows], [right.iloc[i] for i in rows]
+        bound = 2.0 * common_subsequence(a, b) >= threshold * np.array([len(x) + len(y) for x, y in zip(a, b)]) - 1e-9
+        for k in np.flatnonzero(bound):
+            value = SequenceMatcher(None, a[k], b[k]).ratio()
+            out[rows[k]] = value if value >= threshold else 0.0
+        return pd.Series(out)
+
+    return ratio
+
+
 def length_bound(left: Column, right: Column) -> Column:
     """No ratio exceeds twice the shorter length over both."""
     return 2.0 * F.least(F.length(left), F.length(right)) / F.greatest(F.lit(1), F.length(left) + F.length(right))
@@ -23,12 +87,41 @@ def length_bound(left: Column, right: Column) -> Column:
 
 def letter_counts(x: Column) -> Column:
     """Counts of the letters and digits of a key, the rest in one bin: 37 numbers."""
-    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
-    counts = [F.length(x) - F.length(F.replace(x, F.lit(ch), F.lit(""))) for ch in signs]
+    counts = [F.length(x) - F.length(F.replace(x, F.lit(ch), F.lit(""))) for ch in _SIGNS]
     return F.array(*counts, F.length(F.regexp_replace(x, "[a-z0-9]", "")))
 
 
-def bag_bound(left: Column, right: Column, left_counts: Column, right_counts: Column) -> Column:
-    """No ratio exceeds twice the common bag of characters over both lengths."""
-    common = F.aggregate(F.zip_with(left_counts, right_counts, lambda a, b: F.least(a, b)), F.lit(0), lambda acc, v: acc + v)
-    return 2.0 * common / F.greatest(F.lit(1), F.length(left) + F.length(right))
+def letter_tokens(x: Column) -> Column:
+    """The bag of characters as a set of hashes: of each character its first, second, ... occurrence."""
+    return F.flatten(F.transform(letter_counts(x), lambda c, i: F.when(c > 0, F.transform(F.sequence(F.lit(1), c), lambda k: F.xxhash64(i, k))).otherwise(F.array().cast("array<bigint>"))))
+
+
+def bitmap(hashes: Column) -> tuple[Column, Column]:
+    """128 bits of hashed tokens, those of each half in one number."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 8).bitwiseAND(63).cast("int"))
+    half = lambda odd: F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: F.when(h.bitwiseAND(1) == odd, acc.bitwiseOR(bit(h))).otherwise(acc))
+    return half(0), half(1)
+
+
+def may_share(left: tuple[Column, Column], n_left: Column, right: tuple[Column, Column], n_right: Column, need: Column) -> Column:
+    """Whether sets of which the :func:`bitmap` and the size are known can have ``need`` tokens in common.
+
+    Every bit that only one of them has stands for a token at least that the other one lacks, so no such pair is lost.
+    """
+    lacks = lambda x, y: F.bit_count(x[0].bitwiseAND(F.bitwise_not(y[0]))) + F.bit_count(x[1].bitwiseAND(F.bitwise_not(y[1])))
+    return (n_left - lacks(left, right) >= need) & (n_right - lacks(right, left) >= need)
+
+
+def join_in_cells(left: DataFrame, right: DataFrame, key: str, rows_per_cell: int = 2_000) -> DataFrame:
+    """The equal join on ``key``, a column of few values (counted here; at most some hundred), in cells.
+
+    The rows of a key are dealt into cells of about ``rows_per_cell`` rows on either side, and every cell of one side
+    meets every one of the other, so that no task holds a whole key. ``left`` and ``right`` share no other column.
+    """
+    cells = lambda df, name: df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("int").alias(name))
+    plan = F.broadcast(cells(left, "_nl").join(cells(right, "_nr"), key))
+    deal = lambda df, n: F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = left.join(plan, key).withColumn("_cl", deal(left, "_nl")).withColumn("_cr", every("_nr")).drop("_nl", "_nr")
+    b = right.join(plan, key).withColumn("_cr", deal(right, "_nr")).withColumn("_cl", every("_nl")).drop("_nl", "_nr")
+    return a.join(b, [key, "_cl", "_cr"]).drop("_cl", "_cr")

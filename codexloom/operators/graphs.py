@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as sim
 from ..functions import text as tx
 from ..storage import cut
+from .works import alike_keys
 
 # Weights and limits of the related-work score.
 WEIGHTS = {"facet": 0.25, "dataset": 0.20, "text": 0.35, "reference": 0.20}
@@ -21,8 +22,8 @@ def citation_edges(refs: DataFrame, works: DataFrame, ratio: float = CITATION_RA
     ``refs``: work_id, ref_index, raw, title, doi, arxiv_id; ``works``: work_id, title, doi, arxiv_id. An equal
     identifier is verified and beats everything; only references without one go through titles, which count if the
     ratio is at least ``ratio`` or the work's key (>= 12 characters) is part of the raw line's key; ties go to the least
-    work id. Titles of a similar length meet in length buckets and pass two bounds before the ratio is computed;
-    contained titles meet on their first 12 characters, an equal join on the windows of the reference's key.
+    work id. Distinct titles of a similar length meet in cells and pass bounds before the ratio is computed
+    (:func:`works.alike_keys`); contained titles meet on their first 12 characters, an equal join on the windows of the reference's key.
     """
     keyed = refs.select(F.col("work_id").alias("source_work_id"), "ref_index", tx.fold("doi").alias("doi"), tx.fold("arxiv_id").alias("arxiv"), tx.title_key(F.coalesce("title", "raw")).alias("key"), tx.title_key("raw").alias("raw_key"))
     keyed = cut(keyed.where((F.length("key") >= SHORT_KEY) | F.col("doi").isNotNull() | F.col("arxiv").isNotNull()), "reference-keys")
@@ -33,12 +34,10 @@ def citation_edges(refs: DataFrame, works: DataFrame, ratio: float = CITATION_RA
     verified = by_doi.select(*cols).unionByName(by_arxiv.select(*cols)).where("source_work_id <> work_id").distinct().withColumn("score", F.lit(2.0))
     rest = keyed.join(verified.select("source_work_id", "ref_index").distinct(), ["source_work_id", "ref_index"], "left_anti").where(F.length("key") >= SHORT_KEY)
     titled = target.where("tkey <> ''").select("work_id", "tkey")
-    step = (2 - ratio) / ratio
-    bucket = lambda c: F.floor(F.log(step, F.length(c).cast("double") + 1e-9)).cast("int")
-    probe = rest.select("source_work_id", "ref_index", "key", sim.letter_counts(F.col("key")).alias("kb"), F.explode(F.array(bucket("key") - 1, bucket("key"), bucket("key") + 1)).alias("bucket"))
-    met = probe.join(titled.select("work_id", "tkey", sim.letter_counts(F.col("tkey")).alias("tb"), bucket("tkey").alias("bucket")), "bucket").where("source_work_id <> work_id")
-    met = met.where((sim.length_bound(F.col("key"), F.col("tkey")) >= ratio) & (sim.bag_bound(F.col("key"), F.col("tkey"), F.col("kb"), F.col("tb")) >= ratio))
-    alike = met.select(*cols, "key", "tkey").withColumn("score", sim.sequence_ratio("key", "tkey")).where(F.col("score") >= ratio).select(*cols, "score")
+    # References to one title are one key, and titles of several works one; pairs of keys are compared once.
+    met = alike_keys(rest.select(F.col("key").alias("a")).distinct(), titled.select(F.col("tkey").alias("b")).distinct(), ratio, rows_per_cell)
+    scored = cut(met.withColumn("score", sim.ratio_at_least(ratio)("a", "b")).where("score > 0"), "alike-titles")
+    alike = rest.join(scored.withColumnRenamed("a", "key"), "key").join(titled.withColumnRenamed("tkey", "b"), "b").where("source_work_id <> work_id").select(*cols, "score")
     long_titles = titled.where(F.length("tkey") >= CONTAINED_LENGTH).withColumn("head", F.left("tkey", F.lit(CONTAINED_LENGTH)))
     windows = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("raw_key") - CONTAINED_LENGTH + 1)), lambda p: F.substr(F.col("raw_key"), p, F.lit(CONTAINED_LENGTH))))
     inside = rest.select("source_work_id", "ref_index", "key", "raw_key", F.explode(windows).alias("head")).join(long_titles, "head").where("source_work_id <> work_id").where(F.col("raw_key").contains(F.col("tkey")))

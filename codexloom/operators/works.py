@@ -39,28 +39,49 @@ def title_groups(files: DataFrame) -> DataFrame:
     return files.join(merged, "title_key", "left").withColumn("group_work_id", F.coalesce("first_work_id", "work_id")).drop("first_work_id")
 
 
-def _keyed(files: DataFrame) -> DataFrame:
-    """Distinct title keys with their letters counted once."""
-    keys = files.select("title_key").where("title_key <> ''").distinct()
-    return keys.withColumn("len", F.length("title_key")).withColumn("bag", sim.letter_counts(F.col("title_key")))
+def alike_keys(left: DataFrame, right: DataFrame, threshold: float, rows_per_cell: int = 2_000) -> DataFrame:
+    """Pairs (a, b), among them all with ratio >= threshold, of the keys ``a`` of ``left`` and ``b`` of ``right``.
+
+    The bounds lose no pair: keys meet in cells of a length class and the two next to it, as a ratio bounds the factor
+    of the lengths; bitmaps of their characters bound the common bag, and the longest common subsequence the matching
+    blocks (:func:`similarity.ratio_at_least`, which runs on what is left). At low thresholds nothing but these bounds tells keys apart, so the
+    bitmaps of all keys of a like length meet, but in cells of bounded size.
+    """
+    step = (2 - threshold) / threshold  # lengths within this factor lie in neighbouring classes
+    place = lambda c: F.floor(F.log(step, F.length(c).cast("double") + 1e-9)).cast("int")
+
+    def mapped(df: DataFrame, c: str) -> DataFrame:
+        low, high = sim.bitmap(sim.letter_tokens(F.col(c)))
+        return df.select(c, low.alias(f"low_{c}"), high.alias(f"high_{c}"), F.length(c).alias(f"n_{c}"))
+
+    x = mapped(left, "a").withColumn("bucket", F.explode(F.array(*[place("a") + d for d in (-1, 0, 1)])))
+    y = mapped(right, "b").withColumn("bucket", place("b"))
+    met = sim.join_in_cells(cut(x, "left-keys"), cut(y, "right-keys"), "bucket", rows_per_cell)
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * (threshold / 2) - 1e-9)
+    return met.where((F.least("n_a", "n_b") >= need) & sim.may_share((F.col("low_a"), F.col("high_a")), F.col("n_a"), (F.col("low_b"), F.col("high_b")), F.col("n_b"), need)).select("a", "b")
 
 
 def fuzzy_key_pairs(files: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """All pairs of different title keys with ratio >= threshold: (left_key, right_key, ratio), left_key < right_key.
+    """All pairs of different title keys with ratio >= threshold: (left_key, right_key, ratio), left_key < right_key."""
+    keys = files.select("title_key").where("title_key <> ''").distinct()
+    met = alike_keys(keys.toDF("a"), keys.toDF("b"), threshold).where("a < b")
+    return met.withColumn("ratio", sim.ratio_at_least(threshold)("a", "b")).where("ratio > 0").select(F.col("a").alias("left_key"), F.col("b").alias("right_key"), F.round("ratio", 4).alias("ratio"))
+
+
+def match_candidates(files: DataFrame, threshold: float = 0.75, all_pairs: int = 60) -> DataFrame:
+    """Pairs of files of different works with ratio >= threshold: (left_document_id, right_document_id, ratio).
 
-    The pairs that can reach the threshold are found by two bounds that lose none: by length, and by the common bag of
-    characters. Keys meet in buckets of their length (a key meets the next bucket as well, buckets growing with the
-    length), so that no key is compared with one of another size; the exact ratio runs on what is left.
+    ``files``: document_id, work_id, title_key. Up to ``all_pairs`` files (counted) every pair is compared; beyond that
+    those of :func:`trigram_candidates`, as the rule wants it. The smaller id is the left one.
     """
-    keys = _keyed(files)
-    # Lengths within the factor threshold / (2 - threshold): geometric buckets of that factor are neighbours at most.
-    step = (2 - threshold) / threshold
-    bucket = F.floor(F.log(step, F.col("len").cast("double") + 1e-9)).cast("int")
-    placed = keys.withColumn("bucket", bucket)
-    probe = placed.select(F.col("title_key").alias("a"), F.col("bag").alias("bag_a"), F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"))
-    met = probe.join(placed.select(F.col("title_key").alias("b"), F.col("bag").alias("bag_b"), "bucket"), "bucket").where("a < b")
-    met = met.where((sim.length_bound(F.col("a"), F.col("b")) >= threshold) & (sim.bag_bound(F.col("a"), F.col("b"), F.col("bag_a"), F.col("bag_b")) >= threshold))
-    return met.select("a", "b").withColumn("ratio", sim.sequence_ratio("a", "b")).where(F.col("ratio") >= threshold).select(F.col("a").alias("left_key"), F.col("b").alias("right_key"), F.round("ratio", 4).alias("ratio"))
+    rows = files.where("title_key <> '' and document_id is not null").select("document_id", "work_id", "title_key")
+    if rows.limit(all_pairs + 1).count() <= all_pairs:
+        pairs = rows.select(F.col("document_id").alias("left_document_id")).join(rows.select(F.col("document_id").alias("right_document_id")), F.col("left_document_id") < F.col("right_document_id"))
+    else:
+        pairs = trigram_candidates(rows).select("left_document_id", "right_document_id")
+    side = lambda s: rows.select(F.col("document_id").alias(f"{s}_document_id"), F.col("work_id").alias(f"{s}_work"), F.col("title_key").alias(f"{s}_key"))
+    met = pairs.join(side("left"), "left_document_id").join(side("right"), "right_document_id").where("not (left_work <=> right_work)")
+    return met.withColumn("ratio", sim.ratio_at_least(threshold)("left_key", "right_key")).where("ratio > 0").select("left_document_id", "right_document_id", F.round("ratio", 4).alias("ratio"))
 
 
 def trigram_candidates(files: DataFrame) -> DataFrame:

@@ -169,3 +169,50 @@ def test_nearest_vectors_are_exact(spark):
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
     got = search.nearest_vectors(df, df.where("vec_id % 20 = 0"), 3)
     assert got.where("query_id = 0").count() == 3 and got.where(F.col("cosine") > 1).count() == 0
+
+
+def test_common_subsequences_equal_the_table(spark):
+    import random
+
+    from codexloom.functions import similarity as sim
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = before[j] + 1 if x == y else max(before[j + 1], row[j])
+        return row[-1]
+
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abc09z") for _ in range(n))
+    pairs = [(word(rng.randrange(0, 30)), word(rng.randrange(0, 90))) for _ in range(150)] + [(word(63), word(63)), (word(64), word(70)), (word(150), word(200)), ("", "")]
+    assert sim.common_subsequence([a for a, _ in pairs], [b for _, b in pairs]).tolist() == [longest(a, b) for a, b in pairs]
+    assert sim.common_subsequence(["éa"], ["üa"]).tolist() == [2] and sim.common_subsequence([], []).tolist() == []
+
+
+@pytest.mark.parametrize("threshold", [0.75, 0.85])
+def test_alike_keys_lose_no_pair(spark, threshold):
+    import random
+    from difflib import SequenceMatcher
+
+    from codexloom.functions import similarity as sim
+    from codexloom.operators import works
+
+    rng = random.Random(4)
+    base = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(6, 50))) for _ in range(25)]
+    keys = sorted({"".join(ch for ch in b if rng.random() > 0.1) + rng.choice(["", "x", "zz", "é"]) for b in base for _ in range(4)})
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    met = works.alike_keys(df.toDF("a"), df.toDF("b"), threshold, rows_per_cell=9)
+    got = {(r.a, r.b) for r in met.withColumn("r", sim.ratio_at_least(threshold)("a", "b")).where("r > 0").collect()}
+    assert got == {(a, b) for a in keys for b in keys if SequenceMatcher(None, a, b).ratio() >= threshold}
+
+
+def test_match_candidates_of_few_and_of_many_files(spark):
+    from codexloom.operators import works
+
+    rows = [("d1", "w1", "sparseattention"), ("d2", "w2", "sparseattentions"), ("d3", "w1", "sparseattention"), ("d4", None, "otherthing"), ("d5", "w5", ""), (None, "w6", "sparseattention"), ("d7", "w7", None)]
+    df = spark.createDataFrame(rows, "document_id string, work_id string, title_key string")
+    want = [("d1", "d2"), ("d2", "d3")]
+    for few in (0, 60):
+        assert sorted((r[0], r[1]) for r in works.match_candidates(df, all_pairs=few).collect()) == want
