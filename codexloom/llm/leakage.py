@@ -17,10 +17,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import scratch_path
+from ..storage import cut, scratch_path
 
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)?")
 _INDEX = "segment long, doc_ids array<bigint>, doc_starts array<int>, terms array<string>, term_starts array<int>, deltas array<int>"
@@ -129,44 +129,87 @@ def term_counts(index: DataFrame, terms: list[str]) -> dict[str, int]:
 
 @dataclass
 class Phrases:
-    """All phrases of the test items: term ids (phrase x length), their item and offset, and the order of rarity."""
+    """All phrases of some test items: term ids (phrase x length), their item and offset, whether the phrase is the item's
+    own, and the order of rarity; per item the number of its own words and the places of its instruction line."""
 
     vocabulary: dict[str, int]
     grams: np.ndarray
     item: np.ndarray
     offset: np.ndarray
+    own: np.ndarray
     order: np.ndarray
-    own: dict[int, int]
+    size: dict[int, int]
+    foreign: dict[int, frozenset[int]]
 
 
-def item_phrases(items: list[tuple[int, str]], counts: dict[str, int] | None, length: int, shared: int, instruction: int = 3) -> Phrases:
-    """``shared``: a phrase that more items hold counts for none of them; words of phrases that at least
-    ``instruction`` items hold at their very start are instruction lines and not the item's own wording."""
+def shared_phrases(items: DataFrame, length: int, shared: int, instruction: int) -> DataFrame:
+    """(phrase, n, opening) over all items (item_id, text): phrases that more than ``shared`` items hold, and (``opening``)
+    the first five words that at least ``instruction`` items start with."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, phrases, openings = [], [], []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ws = words(text)
+                found = {(" ".join(ws[j : j + length]), False) for j in range(len(ws) - length + 1)} | {(" ".join(ws[:5]), True)}
+                ids += [i] * len(found)
+                phrases += [x for x, _ in found]
+                openings += [o for _, o in found]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(phrases, pa.string()), pa.array(openings, pa.bool_())], names=["item_id", "phrase", "opening"])
+
+    rows = items.select("item_id", "text").mapInArrow(spell, "item_id long, phrase string, opening boolean")
+    counts = rows.groupBy("phrase", "opening").agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > F.when(F.col("opening"), instruction - 1).otherwise(min(shared, instruction - 1)))
+
+
+def item_phrases(items: list[tuple[int, str]], counts: dict[str, int] | None, held: dict[str, int], openings: dict[str, int], length: int, shared: int, instruction: int = 3) -> Phrases:
+    """Phrases of the items, given the phrases and openings that several of all items share (:func:`shared_phrases`).
+
+    A phrase that at most ``shared`` items hold is an item's own. An instruction line is what at least ``instruction``
+    items start with; it goes on as long as most of the items that start alike hold its phrases, so that what a few
+    versions of one item have in common is their own wording."""
     tokens = {i: words(t) for i, t in items}
     vocabulary = {t: k for k, t in enumerate(sorted({w for ws in tokens.values() for w in ws}))}
-    holders, openings = defaultdict(set), defaultdict(set)
+    grams, item, offset, own, size, foreign = [], [], [], [], {}, {}
     for i, ws in tokens.items():
-        for j in range(len(ws) - length + 1):
-            holders[tuple(ws[j : j + length])].add(i)
-        openings[tuple(ws[:5])].add(i)
-    grams, item, offset, own = [], [], [], {}
-    for i, ws in tokens.items():
-        foreign = set()
-        for j in range(len(ws) - length + 1):
-            gram = tuple(ws[j : j + length])
-            if len(holders[gram]) <= shared:
-                grams.append([vocabulary[w] for w in gram])
-                item.append(i)
-                offset.append(j)
-        if len(openings[tuple(ws[:5])]) >= instruction:
-            for j in range(len(ws) - length + 1):
-                if len(holders[tuple(ws[j : j + length])]) < instruction:
+        places: set[int] = set()
+        spelled = [" ".join(ws[j : j + length]) for j in range(len(ws) - length + 1)]
+        if alike := openings.get(" ".join(ws[:5])):
+            for j, phrase in enumerate(spelled):
+                if held.get(phrase, 1) < max(instruction, alike / 2):
                     break
-                foreign.update(range(j, j + length))
-        own[i] = len(ws) - len(foreign)
+                places.update(range(j, j + length))
+        for j, phrase in enumerate(spelled):
+            grams.append([vocabulary[w] for w in ws[j : j + length]])
+            item.append(i)
+            offset.append(j)
+            own.append(held.get(phrase, 1) <= shared)
+        size[i], foreign[i] = len(ws) - len(places), frozenset(places)
     g = np.array(grams, dtype=np.int32).reshape(-1, length)
-    size = np.array([(counts or {}).get(t, 0) for t in sorted(vocabulary)], dtype=np.int64)
-    return Phrases(vocabulary, g, np.array(item, dtype=np.int64), np.array(offset, dtype=np.int32), np.argsort(size[g], axis=1, kind="stable") if len(g) else g, own)
+    often = np.array([(counts or {}).get(t, 0) for t in sorted(vocabulary)], dtype=np.int64)
+    return Phrases(vocabulary, g, np.array(item, dtype=np.int64), np.array(offset, dtype=np.int32), np.array(own, dtype=bool), np.argsort(often[g], axis=1, kind="stable") if len(g) else g, size, foreign)
+
+
+def telling_hits(hits: list[tuple[int, int, bool]], length: int, alone: int, foreign: frozenset[int]) -> list[tuple[int, int]]:
+    """(offset, position) of the hits (offset, position, own) that lie in a telling stretch.
+
+    A stretch is an unbroken match. It tells of the item if a phrase in it is the item's own, or if, for items that are
+    versions of each other, it holds ``alone`` words outside the instruction line; shorter shared phrases are quotes.
+    """
+    out: list[tuple[int, int]] = []
+    stretch: list[tuple[int, int, bool]] = []
+
+    def close() -> None:
+        if stretch and (any(o for *_, o in stretch) or len(set(range(stretch[0][0], stretch[-1][0] + length)) - foreign) >= alone):
+            out.extend((k, j) for k, j, _ in stretch)
+        stretch.clear()
+
+    for hit in sorted(hits, key=lambda h: (h[1] - h[0], h[0])):
+        if stretch and (hit[1] - hit[0] != stretch[-1][1] - stretch[-1][0] or hit[0] > stretch[-1][0] + 1):
+            close()
+        stretch.append(hit)
+    close()
+    return out
 
 
 def _hits(segment: _Segment, p: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -211,41 +254,67 @@ def runs(pairs: list[tuple[int, int]], length: int, bridge: int, drift: int) ->
     return sorted(((c[0][0], c[-1][0] + length) for c in chains), key=lambda s: (s[0] - s[1], s))
 
 
-def search_index(index: DataFrame, items: DataFrame, phrase: int = 4, shared: int = 2, bridge: int = 8, drift: int = 4, pieces: int = 2, share: float = 0.25, least: int = 8) -> DataFrame:
+def search_index(index: DataFrame, items: DataFrame, phrase: int = 4, shared: int = 2, bridge: int = 8, drift: int = 4, pieces: int = 2, share: float = 0.25, least: int = 8, alone: int = 16, shard_chars: int = 20_000_000) -> DataFrame:
     """Documents that leak items: ``(doc_id, item_id, coverage, longest)``.
 
     A run is a chain of exact phrases of ``phrase`` words in which at most ``bridge`` words in a row differ and the
     offset drifts by at most ``drift``. An item is leaked if its ``pieces`` longest runs (of at least ``least`` words
-    the longest) cover the share ``share`` of its own wording; phrases that more than ``shared`` items hold belong to
-    no item. The items are held in memory: a bounded list of test material, not the corpus. Items with a null id or
-    text, and items shorter than a phrase, leak nowhere; of repeated ids the greatest text counts.
+    the longest) cover the share ``share`` of its own wording, i.e. of all its words but an instruction line that it
+    shares with others. Phrases that more than ``shared`` items hold count where they go on from one of the item's own,
+    or where ``alone`` words match without a break (:func:`telling_hits`).
+
+    The items' characters are counted first: up to ``shard_chars`` are held at once, more are searched shard by shard;
+    what items share is counted over all of them. Items with a null id or text, and items shorter than a phrase, leak
+    nowhere; of repeated ids the greatest text counts.
     """
-    held = [(int(r.item_id), r.text) for r in items.where("item_id is not null and text is not null").groupBy("item_id").agg(F.max("text").alias("text")).collect()]
-    terms = sorted({w for _, t in held for w in words(t)})
-    p = item_phrases(held, term_counts(index, terms) if terms else {}, phrase, shared)
+    spark = index.sparkSession
+    whole = items.where("item_id is not null and text is not null").groupBy(F.col("item_id").cast("long").alias("item_id")).agg(F.max("text").alias("text"))
+    whole = cut(whole, "items")
+    chars = whole.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = max(1, -(-chars // shard_chars))
+    common = cut(shared_phrases(whole, phrase, shared, 3), "shared-phrases")
+    found: DataFrame | None = None
+    for shard in range(shards):
+        part = whole.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard)
+        hits = _search(spark, index, part, common, phrase, shared, bridge, drift, pieces, share, least, alone)
+        found = hits if found is None else found.unionByName(hits)
+    return found.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
+
+
+def _search(spark: SparkSession, index: DataFrame, part: DataFrame, common: DataFrame, phrase: int, shared: int, bridge: int, drift: int, pieces: int, share: float, least: int, alone: int) -> DataFrame:
+    """Hits of one shard of items."""
+    items = sorted((int(r.item_id), r.text) for r in part.collect())
+    spelled = {" ".join(ws[j : j + phrase]) for _, t in items for ws in [words(t)] for j in range(len(ws) - phrase + 1)} | {" ".join(words(t)[:5]) for _, t in items}
+    asked = spark.createDataFrame([(x,) for x in sorted(spelled)], "phrase string")
+    told = common.join(asked, "phrase").collect()
+    terms = sorted({w for _, t in items for w in words(t)})
+    counts = term_counts(index, terms) if terms else {}
+    held = spark.sparkContext.broadcast(item_phrases(items, counts, {r.phrase: r.n for r in told if not r.opening}, {r.phrase: r.n for r in told if r.opening}, phrase, shared))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = held.value
         for batch in batches:
             out: list[tuple[int, int, float, int]] = []
             for row in range(batch.num_rows):
                 segment = _Segment.read(batch, row, p.vocabulary)
                 gram, at = _hits(segment, p)
-                met: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+                met: dict[tuple[int, int], list[tuple[int, int, bool]]] = defaultdict(list)
                 docs = np.searchsorted(segment.starts, at, side="right") - 1
-                for g, a, d in zip(gram.tolist(), at.tolist(), docs.tolist()):
-                    met[d, int(p.item[g])].append((int(p.offset[g]), a))
-                for (d, i), pairs in met.items():
-                    spans = runs(pairs, phrase, bridge, drift)
-                    if spans[0][1] - spans[0][0] < least:
+                for d, i, k, j, own in zip(docs.tolist(), p.item[gram].tolist(), p.offset[gram].tolist(), at.tolist(), p.own[gram].tolist()):
+                    met[d, i].append((k, j, own))
+                for (d, i), hits in met.items():
+                    foreign = p.foreign[i]
+                    spans = [set(range(*s)) - foreign for s in runs(telling_hits(hits, phrase, alone, foreign), phrase, bridge, drift)]
+                    spans = sorted(spans, key=lambda s: (-len(s), min(s, default=0)))
+                    if not spans or len(spans[0]) < least:
                         continue
-                    covered = len(set().union(*(range(*s) for s in spans[:pieces])))
-                    if covered >= share * p.own[i]:
-                        out.append((int(segment.ids[d]), i, min(1.0, covered / max(1, p.own[i])), spans[0][1] - spans[0][0]))
+                    covered = len(set().union(*spans[:pieces]))
+                    if covered >= share * p.size[i]:
+                        out.append((int(segment.ids[d]), i, min(1.0, covered / max(1, p.size[i])), len(spans[0])))
             cols = list(zip(*out)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int32()))], names=["doc_id", "item_id", "coverage", "longest"])
 
-    found = index.mapInArrow(search, "doc_id long, item_id long, coverage double, longest int")
-    return found.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"), F.max("longest").alias("longest"))
+    return index.mapInArrow(search, "doc_id long, item_id long, coverage double, longest int")
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, **options: float) -> DataFrame:

@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .markup_labels import MARKUP, PLAIN
+from .markup_labels import PROSE, documents
 
 #: The constructs that are counted, by family, in regular expressions that Java and Python read alike.
 CONSTRUCTS = {
     "html_tag": r"</?[A-Za-z][A-Za-z0-9]{0,14}(?:\s[^<>]{0,200})?/?>|<!--|-->|<(?:https?|ftp|mailto):[^<>\s]+>",
     "html_entity": r"&(?:amp;)*(?:#[0-9]{1,6}|#x[0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});|&(?:amp;)*(?:lt|gt|amp|nbsp|quot)(?=[A-Za-z])",
-    "md_block": r"(?m)^[ \t]{0,3}#{1,6}[ \t]+\S|^[ \t]*(?:={3,}|~{3,}|`{3,})[ \t]*\w*[ \t]*$|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\||\|[ \t]*:?-{2,}:?[ \t]*\||^[ \t]*>[ \t]+\S|^[ \t]*[-*+][ \t]+\[[ xX]\][ \t]|^\[\^[^\]\s]+\]:|^[ \t]*\*[ \t]+\S+[ \t]+\S+[ \t]+\S",
+    "md_block": r"(?m)^[ \t]{0,3}#{1,6}[ \t]+\S|^[ \t]*(?:={3,}|~{3,}|`{3,})[ \t]*\w*[ \t]*$|^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*\||\|[ \t]*:?-{2,}:?[ \t]*\||^[ \t]*>[ \t]+\S|^[ \t]*[-*+][ \t]+\[[ xX]\][ \t]|^\[\^[^\]\s]+\]:",
     "md_link": r"\]\([^()\s]+\)|\]\[[0-9A-Za-z]{0,20}\]|!\[|\[\^[^\]\s]+\]",
     "md_mark": r"`[^`\n]+`|``|(?<![*\w\\])\*{1,3}(?=[^\s*()])[^*\n]*[^\s*(]\*{1,3}(?![*\w])|\*\*(?=[^\s*(])|(?<=[^\s*(])\*\*|(?<![\w_\\])_{1,3}(?=[^\s_])[^_\n]*[^\s_]_{1,3}(?![\w_])|(?<![\w_])__(?=[^\s_])|~~(?=\S)|(?<=\S)~~",
     "wiki": r"\[\[|\]\]|\{\{|\}\}|'{2,5}|\{\||(?m)^\|[-}]|(?m)^={2,6}[^=\n]+={2,6}[ \t]*$|\b__[A-Z]{4,}__\b|(?m)^![^!\n]+!!|(?m)^\[?https?://\S+\s[^\]]*\]",
@@ -33,7 +33,9 @@ CONSTRUCTS = {
 }
 #: A sign without which no construct is possible: most blocks are settled by one look.
 SIGNS = r"[<>&{}\[\]*_`#|=$~\\^]|''"
-FEATURES = (*CONSTRUCTS, "words", "link_density", "words_before", "density_before", "words_after", "density_after")
+#: A line behind a star: a point of a list, or a note, which its number of words tells.
+_STAR = r"(?m)^[ \t]*\*[ \t]+(\S[^\n]*)"
+FEATURES = (*CONSTRUCTS, "star_words", "words", "link_density", "words_before", "density_before", "words_after", "density_after")
 _LINK = r"<a\b[^>]*>[^<]*|\[[^\[\]\n]+\]\([^()\s]+\)|\[\[[^\[\]\n]+\]\]|<?https?://\S+"
 
 
@@ -81,26 +83,50 @@ def as_column(node: Node, columns: dict[str, Column]) -> Column:
 def _own_features(text: str) -> list[float]:
     words = len(text.split())
     linked = sum(len(m.split()) for m in re.findall(_LINK, text))
-    return [*(float(len(re.findall(p if not p.count("(?m)") else "(?m)" + p.replace("(?m)", ""), text))) for p in CONSTRUCTS.values()), float(words), min(1.0, linked / max(1, words))]
+    starred = max((len(m.split()) for m in re.findall(_STAR, text)), default=0)
+    return [*(float(len(re.findall(p if not p.count("(?m)") else "(?m)" + p.replace("(?m)", ""), text))) for p in CONSTRUCTS.values()), float(starred), float(words), min(1.0, linked / max(1, words))]
 
 
-def labelled_features() -> tuple[np.ndarray, np.ndarray]:
-    """The labelled table as features and labels.
-
-    Each text stands alone and behind plain sentences of several lengths, between plain blocks of several lengths, so
-    that length by itself tells nothing.
-    """
+def labelled_features(pages: list[list[tuple[str, bool]]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled documents (by default :func:`markup_labels.documents`) as features and labels, one row a block; the
+    features of the neighbours are those of the blocks that stand before and after it."""
     rows, labels = [], []
-    for label, texts in ((1.0, MARKUP), (0.0, PLAIN)):
-        for text in texts:
-            for ahead in (0, 4, 12, 40, 120):
-                lead = " ".join(["word"] * ahead) + ".\n" if ahead else ""
-                for around in ((0.0, 0.0, 0.0, 0.0), (30.0, 0.0, 30.0, 0.0), (4.0, 0.5, 60.0, 0.0)):
-                    rows.append([*_own_features(lead + text), *around])
-                    labels.append(label)
+    for page in documents() if pages is None else pages:
+        own = [_own_features(text) for text, _ in page]
+        sides = [(0.0, 0.0), *((x[-2], x[-1]) for x in own), (0.0, 0.0)]
+        for k, (_, label) in enumerate(page):
+            rows.append([*own[k], *sides[k], *sides[k + 2]])
+            labels.append(float(label))
     return np.array(rows), np.array(labels)
 
 
+def used_features(tree: Node) -> set[str]:
+    """Names of the features that a tree splits on."""
+    return set() if tree.feature < 0 else {FEATURES[tree.feature]} | used_features(tree.low) | used_features(tree.high)
+
+
+def held_out_error(folds: int = 5) -> float:
+    """Share of labelled texts that a tree grown without them misjudges: the texts, not their copies in several
+    documents, are dealt out to the folds."""
+    pages = documents()
+    texts = sorted({t.split("\n", 1)[-1] if t.split("\n", 1)[0] in PROSE else t for page in pages for t, _ in page})
+    fold = {t: k % folds for k, t in enumerate(texts)}
+    of = lambda t: fold[t.split("\n", 1)[-1] if t.split("\n", 1)[0] in PROSE else t]
+    x, y = labelled_features(pages)
+    which = np.array([of(t) for page in pages for t, _ in page])
+    wrong = 0
+    for k in range(folds):
+        tree = grow(x[which != k], y[which != k])
+        wrong += sum((_judge(tree, row) >= 0.5) != bool(label) for row, label in zip(x[which == k], y[which == k]))
+    return wrong / len(y)
+
+
+def _judge(node: Node, row: np.ndarray) -> float:
+    while node.feature >= 0:
+        node = node.low if row[node.feature] <= node.at else node.high
+    return node.share
+
+
 def trained_tree() -> Node:
     return grow(*labelled_features())
 
@@ -116,7 +142,8 @@ def block_features(sections: DataFrame) -> DataFrame:
     count = lambda p: F.when(signed, F.regexp_count("text", F.lit(p))).otherwise(0).cast("double")
     words = F.size(F.split(F.trim("text"), r"\s+")).cast("double")
     linked = F.when(signed, F.aggregate(F.transform(F.regexp_extract_all("text", F.lit(_LINK), F.lit(0)), lambda m: F.size(F.split(F.trim(m), r"\s+"))), F.lit(0), lambda a, b: a + b)).otherwise(0)
-    own = rows.select("*", *[count(p if "(?m)" not in p else "(?m)" + p.replace("(?m)", "")).alias(k) for k, p in CONSTRUCTS.items()], F.when(F.trim("text") == "", 0.0).otherwise(words).alias("words"))
+    starred = F.when(signed, F.coalesce(F.array_max(F.transform(F.regexp_extract_all("text", F.lit(_STAR), F.lit(1)), lambda m: F.size(F.split(F.trim(m), r"\s+")))), F.lit(0))).otherwise(0).cast("double")
+    own = rows.select("*", starred.alias("star_words"), *[count(p if "(?m)" not in p else "(?m)" + p.replace("(?m)", "")).alias(k) for k, p in CONSTRUCTS.items()], F.when(F.trim("text") == "", 0.0).otherwise(words).alias("words"))
     own = own.withColumn("link_density", F.least(F.lit(1.0), linked / F.greatest(F.lit(1.0), F.col("words"))))
     slim = own.where("document_id is not null and idx is not null").groupBy("document_id", "idx").agg(F.max("words").alias("w"), F.max("link_density").alias("d"))
     sided = slim.select("document_id", F.explode(F.array(F.struct((F.col("idx") + 1).alias("idx"), F.lit(True).alias("before")), F.struct((F.col("idx") - 1).alias("idx"), F.lit(False).alias("before")))).alias("p"), "w", "d")

@@ -1,4 +1,4 @@
-"""The small labelled table on which the markup classifier is trained: (text, carries markup).
+"""The small labelled table on which the markup classifier is trained: (text, carries markup), and documents of it.
 
 Written for this operator: each row shows one construct of HTML, Markdown, wiki or LaTeX, whole or broken, or signs
 that stand for themselves.
@@ -66,6 +66,8 @@ MARKUP = (
     "$$\\sum_i x_i$$",
     "1 & 2 & 3 \\\\ \\hline",
     "``quoted'' in the old way",
+    "* first point of a list\n* second point of it",
+    "* one more point",
 )
 
 PLAIN = (
@@ -99,4 +101,38 @@ PLAIN = (
     "2 > 1; 1 < 2; a->b; x <- y",
     "50 % off | today only",
     "Annals, Vol. 3, No. 4 | 12",
+    "* significant",
+    "* see note",
+    "Table 3: values by site\n* estimated",
 )
+
+#: Prose of several lengths between the labelled blocks of a document.
+PROSE = (
+    "A short line.",
+    "The second series was weighed again in spring, after the scales had been repaired.",
+    "None of the sites was visited twice. The keeper of the log wrote down the hour and the weather, and left the rest of the page empty for the readings of the day.",
+    "In the first year the survey covered three valleys only. Later it was extended to the coast, where the boats of the harbour carried the instruments, and the old notes were copied by hand into one book. What is known of the earlier years comes from that book alone, as the papers themselves were lost in a flood.",
+)
+
+
+def documents() -> list[list[tuple[str, bool]]]:
+    """Documents as lists of (text, carries markup) in reading order.
+
+    Each labelled text stands once in a document full of markup, once between plain blocks, and once alone with prose,
+    so that the neighbours' words and links are those of real neighbours, and length by itself tells nothing.
+    """
+    pages = []
+    for n, size in ((0, 9), (1, 7), (2, 5)):
+        plain = [(x, False) for x in (*PLAIN[n:], *PLAIN[:n])]
+        for at in range(0, len(MARKUP), size):
+            page = [(x, True) for x in MARKUP[at : at + size]]
+            for k in range(0, size, n + 1):
+                page.insert(2 * k, plain[(at + k) % len(plain)])
+                page.insert(2 * k + 1, (PROSE[(at + k + n) % len(PROSE)], False))
+            pages.append(page)
+        pages.append([x for k, row in enumerate(plain) for x in (row, (PROSE[(k + n) % len(PROSE)], False))])
+    ahead = [f"{p}\n" for p in PROSE]
+    for n, lead in enumerate(ahead):
+        pages.append([x for k, t in enumerate(MARKUP) for x in ((lead + t, True), (lead + PLAIN[(k + n) % len(PLAIN)], False))])
+    return pages
+

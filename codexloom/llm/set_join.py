@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.similarity import bitmap, may_share
 from ..storage import cut
 
 
@@ -60,10 +61,10 @@ def _picked(seed: Column, items: Column, n: Column, branch: float) -> Column:
 
 
 def _rare_first(rows: DataFrame) -> DataFrame:
-    """(class, side, items) with the items in order of their frequency."""
-    tokens = rows.select("class", "side", F.explode("items").alias("tok"))
+    """(key, side, tokens) with the tokens in order of their frequency."""
+    tokens = rows.select("key", "side", F.explode("tokens").alias("tok"))
     counted = tokens.join(tokens.groupBy("tok").agg(F.count("*").alias("k")), "tok")
-    return counted.groupBy("class", "side").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "tok"))), lambda x: x["tok"]).alias("items"))
+    return counted.groupBy("key", "side").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "tok"))), lambda x: x["tok"]).alias("tokens"))
 
 
 def chosen_path_join(sets: DataFrame, threshold: float, other: DataFrame | None = None, target_recall: float = 0.99999, branch: float = 0.2, small: int = 64, depth: int = 6) -> DataFrame:
@@ -72,18 +73,20 @@ def chosen_path_join(sets: DataFrame, threshold: float, other: DataFrame | None
     ``sets`` and ``other`` have columns (class, items); a class is a row with distinct items. Without ``other`` pairs
     lie within ``sets``, l < r; with it, l is of ``sets`` and r of ``other``. Only the first token of a path is random;
     nodes larger than ``small`` lose no pair when they split, and those that are still larger after ``depth`` levels are
-    joined whole, so no cap drops a pair. Null and empty sets pair with nothing.
+    joined whole, so no cap drops a pair. Null and empty sets pair with nothing. Pairs met are sifted by bitmaps of their
+    tokens where they meet, and verified on the items themselves.
     """
     two = other is not None
     rows = sets.select(F.col("class"), "items", F.lit(0).alias("side"))
     if two:
         rows = rows.unionByName(other.select(F.col("class"), "items", F.lit(1).alias("side")))
-    rows = rows.where(F.size("items") > 0).select("class", "side", F.transform("items", lambda i: F.xxhash64(i)).alias("items"), F.size("items").alias("n"))
-    rows = cut(rows, "sets")
+    rows = rows.where(F.size("items") > 0).withColumn("key", F.xxhash64("class")).withColumn("tokens", F.transform("items", lambda i: F.xxhash64(i)))
+    low, high = bitmap(F.col("tokens"))
+    rows = cut(rows.select("class", "items", "key", "side", "tokens", F.size("items").alias("n"), low.alias("low"), high.alias("high")), "sets")
     count = trees_needed(threshold, branch, target_recall, 1)
-    level = rows.select("class", "side", "n", F.explode(F.sequence(F.lit(1), F.lit(count))).alias("tree"), "items")
-    level = level.select("class", "side", "n", "tree", F.explode(_picked(F.col("tree"), F.col("items"), F.col("n"), branch)).alias("tok"))
-    level = level.select("class", "side", "n", F.xxhash64("tree", "tok").alias("node"), F.col("tok").alias("first"), F.lit(0).alias("at"))
+    level = rows.select("key", "side", "n", "low", "high", F.explode(F.sequence(F.lit(1), F.lit(count))).alias("tree"), "tokens")
+    level = level.select("key", "side", "n", "low", "high", "tree", F.explode(_picked(F.col("tree"), F.col("tokens"), F.col("n"), branch)).alias("tok"))
+    level = level.select("key", "side", "n", "low", "high", F.xxhash64("tree", "tok").alias("node"), F.col("tok").alias("first"), F.lit(0).alias("at"))
     found: DataFrame | None = None
     ordered: DataFrame | None = None
     for step in range(1, depth + 1):
@@ -91,10 +94,13 @@ def chosen_path_join(sets: DataFrame, threshold: float, other: DataFrame | None
         sizes = level.groupBy("node").agg(F.count("*").alias("k"), F.countDistinct("side").alias("sides")).where("k > 1" + (" and sides = 2" if two else ""))
         last = step == depth
         leaf = level.join(sizes, "node").withColumn("whole", F.lit(last) | (F.col("k") <= small)).where(F.col("whole") | (least_overlap(threshold, F.col("n"), F.col("n") * threshold) <= step))
-        left, right = leaf.select("node", "whole", F.col("class").alias("l"), F.col("n").alias("nl"), F.col("side").alias("sl")), leaf.select("node", F.col("class").alias("r"), F.col("n").alias("nr"), F.col("side").alias("sr"))
-        met = left.join(right, "node").where("sl = 0 and sr = 1" if two else "l < r")
-        met = met.where(F.col("whole") | (least_overlap(threshold, F.col("nl"), F.col("nr")) <= step))
-        met = met.where((F.col("nl") >= F.col("nr") * threshold - 1e-9) & (F.col("nr") >= F.col("nl") * threshold - 1e-9)).select("l", "r").distinct()
+        left = leaf.select("node", "whole", F.col("key").alias("kl"), F.col("n").alias("nl"), F.col("side").alias("sl"), F.col("low").alias("ll"), F.col("high").alias("hl"))
+        right = leaf.select("node", F.col("key").alias("kr"), F.col("n").alias("nr"), F.col("side").alias("sr"), F.col("low").alias("lr"), F.col("high").alias("hr"))
+        need = least_overlap(threshold, F.col("nl"), F.col("nr"))
+        met = left.join(right, "node").where("sl = 0 and sr = 1" if two else "kl < kr")
+        met = met.where((F.col("nl") >= F.col("nr") * threshold - 1e-9) & (F.col("nr") >= F.col("nl") * threshold - 1e-9))
+        met = met.where(may_share((F.col("ll"), F.col("hl")), F.col("nl"), (F.col("lr"), F.col("hr")), F.col("nr"), need))
+        met = met.where(F.col("whole") | (need <= step)).select("kl", "kr").distinct()
         found = met if found is None else found.unionByName(met)
         if last:
             break
@@ -103,28 +109,29 @@ def chosen_path_join(sets: DataFrame, threshold: float, other: DataFrame | None
             break
         if ordered is None:
             ordered = cut(_rare_first(rows), "ordered-sets")
-        on = large.join(ordered, ["class", "side"]).withColumn("rest", F.array_remove("items", F.col("first")))
+        on = large.join(ordered, ["key", "side"]).withColumn("rest", F.array_remove("tokens", F.col("first")))
         furthest = F.least(F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + step, F.col("n") - 1)
         ahead = F.slice("rest", F.col("at") + 1, F.greatest(furthest - F.col("at"), F.lit(0)).cast("int"))
-        on = on.select("class", "side", "n", "node", "first", "at", F.posexplode(ahead).alias("i", "tok"))
-        level = on.select("class", "side", "n", F.xxhash64("node", "tok").alias("node"), "first", (F.col("at") + F.col("i") + 1).alias("at"))
+        on = on.select("key", "side", "n", "low", "high", "node", "first", "at", F.posexplode(ahead).alias("i", "tok"))
+        level = on.select("key", "side", "n", "low", "high", F.xxhash64("node", "tok").alias("node"), "first", (F.col("at") + F.col("i") + 1).alias("at"))
     pairs = cut(found.distinct(), "met-pairs")
-    lefts, rights = rows.where("side = 0").select(F.col("class").alias("l"), F.col("items").alias("il")), rows.where(F.col("side") == int(two)).select(F.col("class").alias("r"), F.col("items").alias("ir"))
-    exact = pairs.join(lefts, "l").join(rights, "r").withColumn("overlap", F.size(F.array_intersect("il", "ir")))
-    exact = exact.withColumn("similarity", F.col("overlap") / (F.size("il") + F.size("ir") - F.col("overlap")))
-    return exact.where(F.col("similarity") >= threshold - 1e-12).select("l", "r", "overlap", "similarity")
+    side = lambda k, one: rows.where(F.col("side") == k).select(F.col("key").alias("k" + one), F.col("class").alias(one), F.col("items").alias("i" + one))
+    exact = pairs.join(side(0, "l"), "kl").join(side(int(two), "r"), "kr").withColumn("overlap", F.size(F.array_intersect("il", "ir")))
+    exact = exact.withColumn("similarity", F.col("overlap") / (F.size("il") + F.size("ir") - F.col("overlap"))).where(F.col("similarity") >= threshold - 1e-12)
+    if two:
+        return exact.select("l", "r", "overlap", "similarity")
+    return exact.select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r"), "overlap", "similarity")
 
 
 def with_classes(sets: DataFrame) -> DataFrame:
-    """(id, items, class): equal sets share a class, so that copies walk the trees once."""
-    return sets.withColumn("class", F.xxhash64("items"))
+    """(id, items, class): equal sets share a class, the least of their ids, so that copies walk the trees once."""
+    return sets.join(sets.groupBy("items").agg(F.min("id").alias("class")), "items").select("id", "items", "class")
 
 
 def set_pairs(sets: DataFrame, threshold: float, **options: float) -> DataFrame:
     """All pairs of ids ``(left_id, right_id, similarity)``, smaller id first, of rows (id, items): class pairs, and copies."""
     classed = cut(with_classes(sets), "classed-sets")
-    classes = classed.groupBy("class").agg(F.first("items").alias("items"))
-    linked = chosen_path_join(classes, threshold, **options).select("l", "r", "similarity")
+    linked = chosen_path_join(classed.where("id = class").select("class", "items"), threshold, **options).select("l", "r", "similarity")
     linked = linked.unionByName(classed.groupBy("class").agg(F.count("*").alias("k")).where("k > 1").select(F.col("class").alias("l"), F.col("class").alias("r"), F.lit(1.0).alias("similarity")))
     a, b = classed.select(F.col("class").alias("l"), F.col("id").alias("a")), classed.select(F.col("class").alias("r"), F.col("id").alias("b"))
     out = linked.join(a, "l").join(b, "r").where("a <> b").where("l <> r or a < b")

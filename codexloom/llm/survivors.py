@@ -4,11 +4,15 @@ Each source (here: the kind of file that a record was read from) states values o
 unseen; a source has a *sensitivity* (how often it states a true value) and a *specificity* (how often it does not
 state a false one), inferred with the truths by expectation-maximisation (Zhao et al., "A Bayesian approach to
 discovering truth from conflicting sources", 2012). Several values of one field may be true, so a multi-valued field
-keeps every value judged true.
+keeps every value judged true. The surviving *file* is found alike: that a file is the best of its work is the value,
+and kind, completeness and date are the sources that state it.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,28 +107,84 @@ def judged_values(files: DataFrame, rounds: int = 12) -> tuple[DataFrame, DataFr
     return truth, quality
 
 
+#: What speaks for a file as the survivor of its work; each is a source of the model.
+CRITERIA = ("kind", "filled", "recent")
+
+
+def _voted(files: DataFrame) -> DataFrame:
+    """Readable files with a vote of each criterion: whether no file of the work is ahead of it in this."""
+    made = F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(-(2**62)))
+    rows = files.where("readable").withColumn("made", made)
+    best = rows.groupBy("work_id").agg(F.min("rank").alias("b_rank"), F.max("filled").alias("b_filled"), F.max("made").alias("b_made"))
+    return rows.join(best, "work_id").withColumns({"v_kind": F.col("rank") == F.col("b_rank"), "v_filled": F.col("filled") == F.col("b_filled"), "v_recent": F.col("made") == F.col("b_made")}).drop("b_rank", "b_filled", "b_made")
+
+
+def criterion_quality(patterns: list[tuple[tuple[bool, ...], int]], rounds: int = 100) -> tuple[list[tuple[float, float]], float]:
+    """([(sensitivity, specificity) of each criterion], prior) by EM over (votes, files) patterns, at most 2 ** criteria.
+
+    A file is the survivor or not, unseen; a criterion votes for a survivor with its sensitivity, and for no other file
+    with its specificity. It never speaks against a file: its sensitivity is at least its rate of false votes.
+    """
+    votes = np.array([v for v, _ in patterns], dtype=float).reshape(len(patterns), len(CRITERIA))
+    weight = np.array([n for _, n in patterns], dtype=float)
+    belief = votes.mean(axis=1) if len(votes) else np.zeros(0)
+    sens, spec, prior = np.full(len(CRITERIA), 0.8), np.full(len(CRITERIA), 0.9), 0.5
+    for _ in range(rounds if len(votes) else 0):
+        yes, no = weight * belief, weight * (1 - belief)
+        sens, spec = (yes @ votes + 8.0) / (yes.sum() + 10.0), (no @ (1 - votes) + 9.0) / (no.sum() + 10.0)
+        sens, prior = np.maximum(sens, 1 - spec), (yes.sum() + 1.0) / (weight.sum() + 2.0)
+        z = np.log(prior / (1 - prior)) + votes @ np.log(sens / (1 - spec)) + (1 - votes) @ np.log((1 - sens) / spec)
+        after = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        done = np.abs(after - belief).max() < 1e-9
+        belief = after
+        if done:
+            break
+    return list(zip(sens.tolist(), spec.tolist())), float(prior)
+
+
+def surviving_files(files: DataFrame) -> DataFrame:
+    """(work_id, document_id, n_files, belief, title): the best readable file of each work with two or more files.
+
+    ``files`` is the result of :func:`prepared`, one row per file. The two-sided model believes most in the file for
+    which the best criteria vote; a file that is nowhere behind another one has all votes and is never passed over.
+    Equal beliefs are settled by kind (pdf, docx, html, other), number of filled fields, latest ``created_at``, least id.
+    Only the counts of the vote patterns, at most eight, reach the driver.
+    """
+    sizes = files.groupBy("work_id").agg(F.count("*").alias("n_files"), F.max("readable").alias("any")).where("n_files >= 2 and any").select("work_id", "n_files")
+    voted = _voted(files.join(sizes, "work_id"))
+    names = [f"v_{c}" for c in CRITERIA]
+    patterns = sorted((tuple(r[:-1]), r[-1]) for r in voted.groupBy(*names).count().collect())
+    quality, prior = criterion_quality(patterns)
+    z = F.lit(math.log(prior / (1 - prior)))
+    for name, (sens, spec) in zip(names, quality):
+        z = z + F.when(F.col(name), math.log(sens / (1 - spec))).otherwise(math.log((1 - sens) / spec))
+    scored = voted.withColumn("belief", F.round(1 / (1 + F.exp(-z)), 9))
+    order = F.struct(-F.col("belief"), "rank", -F.col("filled"), -F.col("made"), "document_id")
+    best = scored.groupBy("work_id", "n_files").agg(F.min_by(F.struct("document_id", "belief", "title"), order).alias("b"))
+    return best.select("work_id", "b.document_id", "n_files", "b.belief", "b.title")
+
+
+def ready_files(files: DataFrame) -> DataFrame:
+    """:func:`prepared` of current rows, one row per file; null works and documents left out."""
+    return prepared(files.where("work_id is not null and document_id is not null")).dropDuplicates(["work_id", "document_id"])
+
+
 def survivors(files: DataFrame, rounds: int = 12) -> DataFrame:
     """One surviving record per work with two or more files of which one is readable.
 
-    ``files`` holds current rows of the manifest. The surviving *file* is the readable one that comes first by kind
-    (pdf, docx, html, other), number of filled fields, latest ``created_at``; what is still tied goes to the file whose
-    values the model believes most, then to the least id. The surviving *record* takes each field from the model:
+    ``files`` holds current rows of the manifest. The surviving *file* is that of :func:`surviving_files`, the surviving
+    *record* takes each field from the values that all files of the work state, as :func:`judged_values` judges them:
     ``authors`` keeps every name judged true, the others the likeliest value, null if nobody states one.
-    Columns: work_id, document_id, n_files, support, title, authors, year, doi, arxiv_id, year_truth.
+    Columns: work_id, document_id, n_files, belief, title, authors, year, doi, arxiv_id, year_truth.
     Rows with a null work or document id are left out, repeated rows count once, an empty table gives an empty one,
     null arrays and stand-ins state nothing; other columns are ignored.
     """
-    ready = cut(prepared(files.where("work_id is not null and document_id is not null")).dropDuplicates(["work_id", "document_id"]), "files")
-    sizes = ready.groupBy("work_id").agg(F.count("*").alias("n_files"), F.max("readable").alias("any")).where("n_files >= 2 and any").select("work_id", "n_files")
-    several = ready.join(sizes, "work_id")
-    truth, _ = judged_values(several, rounds)
-    truth = cut(truth, "truth")
-    stated = _claims(several).join(truth.select("work_id", "field", "key", "truth"), ["work_id", "field", "key"]).groupBy("work_id", "document_id").agg(F.round(F.sum("truth"), 4).alias("support"))
-    scored = several.where("readable").join(stated, ["work_id", "document_id"], "left").withColumn("support", F.coalesce("support", F.lit(0.0)))
-    best = scored.groupBy("work_id", "n_files").agg(F.min_by(F.struct("document_id", "support", "title"), F.struct("rank", -F.col("filled"), -F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(0)), -F.col("support"), "document_id")).alias("b"))
+    ready = cut(ready_files(files), "files")
+    best = cut(surviving_files(ready), "surviving-files")
+    truth, _ = judged_values(ready.join(best.select("work_id"), "work_id", "left_semi"), rounds)
     likeliest = lambda f: F.max_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, F.struct("truth", "value"))).alias(f)
     built = truth.groupBy("work_id").agg(
         F.array_sort(F.collect_set(F.when((F.col("field") == "authors") & (F.col("truth") >= 0.5), F.col("value")))).alias("authors"),
         likeliest("year"), likeliest("doi"), likeliest("arxiv_id"), F.max(F.when(F.col("field") == "year", F.col("truth"))).alias("year_truth"),
     )
-    return best.join(built, "work_id", "left").select("work_id", "b.document_id", "n_files", "b.support", "b.title", "authors", F.col("year").cast("int").alias("year"), "doi", "arxiv_id", "year_truth")
+    return best.join(built, "work_id", "left").select("work_id", "document_id", "n_files", "belief", "title", "authors", F.col("year").cast("int").alias("year"), "doi", "arxiv_id", "year_truth")

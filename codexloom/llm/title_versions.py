@@ -18,10 +18,11 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.similarity import bitmap, may_share
 from ..operators.components import connected_components
 from ..storage import cut
 
@@ -168,6 +169,8 @@ def grouped_prefix_join(sets: DataFrame, threshold: float, id_col: str = "id", t
     )
     ordered = cut(ordered.withColumn("gid", F.xxhash64("prefix", "n")), "prefix-groups")
     groups = ordered.groupBy("gid").agg(F.first("prefix").alias("prefix"), F.first("n").alias("n"))
+    low, high = bitmap(F.col("prefix"))
+    groups = groups.withColumns({"low": low, "high": high})
     # A pair must overlap in need(x, y) tokens. Groups meet on the two rarest tokens they share, which stand among the
     # first n - need + 2 of both; sets so small that one shared token may do meet on single tokens as well.
     single = f"if(n <= {1 / t}, transform(prefix, (a, i) -> struct(a as a, a as b, i + 1 as p)), array())"
@@ -175,16 +178,18 @@ def grouped_prefix_join(sets: DataFrame, threshold: float, id_col: str = "id", t
         f"concat({single}, if(size(prefix) < 2, array(), flatten(transform(sequence(0, greatest(size(prefix) - 2, 0)), i -> "
         "transform(sequence(i + 1, greatest(size(prefix) - 1, i + 1)), j -> struct(prefix[i] as a, get(prefix, j) as b, j + 1 as p))))))"
     )
-    posted = groups.select("gid", "n", "prefix", F.explode(keys).alias("k")).select("gid", "n", "prefix", "k.a", "k.b", "k.p")
+    posted = groups.select("gid", "n", "prefix", "low", "high", F.explode(keys).alias("k")).select("gid", "n", "prefix", "low", "high", "k.a", "k.b", "k.p")
     g = posted.alias("x").join(posted.alias("y"), (F.col("x.a") == F.col("y.a")) & (F.col("x.b") == F.col("y.b")) & (F.col("x.gid") < F.col("y.gid")))
     g = g.where((F.col("x.n") >= F.ceil(F.col("y.n") * t - 1e-9)) & (F.col("y.n") >= F.ceil(F.col("x.n") * t - 1e-9)))
     need = F.ceil((F.col("x.n") + F.col("y.n")) * (t / (1 + t)) - 1e-9)
     on_one = F.col("x.a") == F.col("x.b")
     g = g.where((F.col("x.p") <= F.col("x.n") - need + 2) & (F.col("y.p") <= F.col("y.n") - need + 2) & (on_one == (need == 1)))
+    # Prefix and rest must be able to hold the overlap, by their bitmaps first.
+    rest = F.greatest(F.col("x.n") - F.size("x.prefix"), F.col("y.n") - F.size("y.prefix"))
+    g = g.where(may_share((F.col("x.low"), F.col("x.high")), F.size("x.prefix"), (F.col("y.low"), F.col("y.high")), F.size("y.prefix"), need - rest))
     shared = F.array_intersect("x.prefix", "y.prefix")  # rarest first, as both prefixes are
-    # Each group pair once, at the rarest tokens it shares; and only if prefix and rest can hold the overlap.
+    # Each group pair once, at the rarest tokens it shares.
     first = (shared[0] == F.col("x.a")) & (on_one | (F.get(shared, F.lit(1)) == F.col("x.b")))
-    rest = F.greatest(F.col("x.n") - F.size("x.prefix"), F.col("y.n") - F.size("y.prefix"))
     g = g.where(first & (F.size(shared) + rest >= need))
     pairs = g.select(F.col("x.gid").alias("gl"), F.col("y.gid").alias("gr")).unionByName(groups.select(F.col("gid").alias("gl"), F.col("gid").alias("gr")))
     members = ordered.select("gid", "id", "n", "toks")
@@ -211,7 +216,7 @@ def title_versions(files: DataFrame, id_col: str = "document_id", title_col: str
     spelled = rows.select("title").distinct().withColumn("p", _title_parts("title")).select("title", F.col("p.tokens").alias("words"), F.col("p.mark").alias("mark")).where("size(words) > 0")
     spelled = spelled.withColumn("title_class", F.xxhash64(F.array_sort("words"), "mark"))
     labelled = cut(rows.join(spelled, "title").select("document_id", "title_class", "words", "mark"), "titles")
-    classes = labelled.groupBy("title_class").agg(F.first("words").alias("words"), F.first("mark").alias("mark"))
+    classes = labelled.groupBy("title_class").agg(F.min("words").alias("words"), F.min("mark").alias("mark"))
     sets = classes.select(F.col("title_class").alias("id"), F.col("words").alias("tokens"))
     frequency = sets.select("id", F.explode(F.array_distinct("tokens")).alias("tok")).groupBy("tok").agg(F.count("*").alias("df"))
     total = F.broadcast(sets.agg(F.count("*").alias("n_classes")))  # one row
@@ -245,8 +250,3 @@ def version_pairs(groups: DataFrame) -> DataFrame:
     b = groups.select("title_group", F.col("document_id").alias("right_document_id"))
     return a.join(b, "title_group").where("left_document_id < right_document_id").select("left_document_id", "right_document_id").distinct()
 
-
-def current_rows(manifest: DataFrame) -> DataFrame:
-    """The row with the greatest ``updated_at`` of each ``document_id`` (rows with a null id left out, nulls oldest)."""
-    order = Window.partitionBy("document_id").orderBy(F.col("updated_at").desc_nulls_last(), F.xxhash64(F.to_json(F.struct("*"))))
-    return manifest.where("document_id is not null").withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")

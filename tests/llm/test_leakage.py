@@ -54,6 +54,22 @@ def test_shared_instructions_do_not_count(spark):
     assert leaks(spark, [(1, f"note: {line}", "", "")], items) == {}
 
 
+def test_versions_of_one_item_leak_although_they_share_their_phrases(spark):
+    line = "answer the question below in one short sentence please and be brief about it now or later"
+    passage = texts(12, 1, 40)[0]
+    items = [(i, f"{line} {passage} ending {i}", "") for i in range(5)] + [(9 + i, f"{line} {t}", "") for i, t in enumerate(texts(13, 8, 40))]
+    quote = " ".join(passage.split()[:9])
+    assert set(leaks(spark, [(1, f"intro {passage} outro", "", ""), (2, f"it says {quote} there", "", ""), (3, line, "", "")], items)) == {(1, i) for i in range(5)}
+
+
+def test_shards_of_items_do_not_change_the_result(spark):
+    shared = " ".join(VOC[:12])
+    items = [(i, f"{shared} {t}", "") for i, t in enumerate(texts(14, 12, 40))]
+    docs = [(i, f"{t} {shared} {items[i % 12][1]}" if i % 3 == 0 else f"{t} {shared}", "", "") for i, t in enumerate(texts(15, 30, 60))]
+    whole = leaks(spark, docs, items)
+    assert whole == leaks(spark, docs, items, shard_chars=700) and set(whole) == {(i, i % 12) for i in range(0, 30, 3)}
+
+
 def test_phrase_matches_equal_a_scan(spark):
     items, docs = texts(7, 4, 30), texts(8, 30, 200)
     docs = [d.replace("word1 ", items[0][:60] + " ") for d in docs]
@@ -65,7 +81,7 @@ def test_phrase_matches_equal_a_scan(spark):
     s = lk._segment(list(range(30)), docs)
     names = ["segment", "doc_ids", "doc_starts", "terms", "term_starts", "deltas"]
     batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), *(pa.array([s[k]], t) for k, t in zip(names[1:], (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()))))], names=names)
-    p = lk.item_phrases(list(enumerate(items)), {}, 4, 99)
+    p = lk.item_phrases(list(enumerate(items)), {}, {}, {}, 4, 99)
     gram, at = lk._hits(lk._Segment.read(batch, 0, p.vocabulary), p)
     assert len(gram) == want and np.all(at >= 0)
 

@@ -41,6 +41,14 @@ def test_tree_as_expression_equals_the_tree(spark):
     assert got == {i: walk(tree, r) for i, r in enumerate(x[::7])} and all((walk(tree, r) >= 0.5) == bool(v) for r, v in zip(x, y))
 
 
+def test_the_tree_weighs_words_and_its_error_on_texts_it_has_not_seen():
+    """The neighbours' features are real ones; whether they help is for the tree to say."""
+    x, y = mk.labelled_features()
+    assert len({tuple(r[-4:]) for r in x}) > 100 and {bool(v) for r, v in zip(x, y) if r[-3] > 0} == {True, False}
+    assert "star_words" in mk.used_features(mk.trained_tree())
+    assert mk.held_out_error() < 0.12
+
+
 def test_neighbours(spark):
     rows = [("a", "d", "text", "one two", 1), ("b", "d", "text", "[x y](http://z.invalid/q)", 2), ("c", "d", "text", "three", 3), ("x", "e", "text", "alone", 2)]
     got = {r.block_id: (r.words_before, r.density_before, r.words_after) for r in mk.block_features(blocks(spark, rows)).collect()}

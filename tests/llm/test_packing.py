@@ -38,13 +38,46 @@ def test_pieces(spark):
 def test_groups_and_refilling(spark):
     rng = random.Random(3)
     items = spark.createDataFrame([(i, 0, 0, rng.randrange(1, 900), 1, 0) for i in range(900)], "doc_id long, piece long, start_token long, tokens long, segments long, loss long")
-    out = pk.fill_containers(items, pk.Limits(2048, 64, 2048), group_items=60, shrink=4)
+    out = pk.fill_containers(items, pk.Limits(2048, 64, 2048), group_items=60)
     assert out.count() == 900 and out.select("doc_id").distinct().count() == 900
     usage = pk.container_usage(out, pk.Limits(2048, 64, 2048)).first()
     assert usage.n_over == 0 and usage.used > 0.97
     assert pk.fill_containers(items.where("false")).count() == 0
 
 
+ITEM = "doc_id long, piece long, start_token long, tokens long, segments long, loss long"
+
+
+def test_groups_stay_bounded_where_no_two_items_fit(spark, monkeypatch):
+    """Items of more than half of the capacity: nothing can be refilled, and no level may gather them in one task."""
+    levels = []
+    plain = pk._pack_groups
+    monkeypatch.setattr(pk, "_pack_groups", lambda items, groups, limits, level: levels.append((items.count(), groups)) or plain(items, groups, limits, level))
+    items = spark.createDataFrame([(i, 0, 0, 1100, 1, 0) for i in range(2000)], ITEM)
+    out = pk.fill_containers(items, group_items=100)
+    assert out.select("container").distinct().count() == 2000 and len(levels) == 1
+    assert all(n / groups <= 100 for n, groups in levels)
+    assert out.groupBy(pk.F.split("container", "-")[1]).count().agg({"count": "max"}).first()[0] < 160
+
+
+def test_each_limit_binds(spark):
+    rng = random.Random(5)
+    items = spark.createDataFrame([(i, 0, 0, t := rng.randrange(50, 700), 1, t // rng.choice([1, 1, 1, 4])) for i in range(600)], ITEM)
+    limits = pk.Limits(2048, 6, 1500)
+    usage = pk.container_usage(pk.fill_containers(items, limits, group_items=150), limits).first()
+    assert usage.n_over == 0 and usage.n_items == 600
+    assert usage.full_tokens > 0 and usage.full_segments > 0 and usage.full_loss > 0
+
+
+@needs_files
+def test_prompts_bear_no_loss_and_nothing_is_faulty(spark):
+    docs = spark.createDataFrame([(1, "What is it?\nA long answer of several words."), (2, "one line only"), (3, "words " * 2500 + "\nrest"), (4, None), (5, "")], "doc_id long, text string")
+    out = pk.packed_documents(docs)
+    rows = {(r.doc_id, r.piece): r for r in out.collect()}
+    assert rows[1, 0].loss == rows[1, 0].tokens - 4 and rows[2, 0].loss == rows[2, 0].tokens and rows[3, 0].loss == 0
+    assert tuple(pk.packing_faults(docs, out).first()) == (3, 0, 0, 0, 0)
+
+
 @needs_files
 def test_documents(spark):
     rows = [(1, "plain words " * 3000, "clash"), (2, "short <|endoftext|> text", "clash"), (3, None, ""), (4, "", ""), (None, "x", ""), (5, " ", ""), (5, "longer text", ""), (6, "0" * 5000, "")]
