@@ -77,8 +77,11 @@ def judged_values(files: DataFrame, rounds: int = 12) -> tuple[DataFrame, DataFr
     """Posterior truth of every stated value, and the quality of every source.
 
     ``files`` is the result of :func:`prepared`. Returns (work_id, field, key, value, truth) and (field, source,
-    sensitivity, specificity). Values with the same evidence are one *pattern*, so that each round of the EM runs over
-    the patterns, whose number depends on how many files state a value and not on the number of works.
+    sensitivity, specificity). Of a field with one value (all but ``authors``) the values of a work exclude one another,
+    those of a field with several are true or false each by itself. Values with the same evidence are one *pattern*,
+    works with the same patterns one *case*: each round of the EM runs over the cases, whose number depends on how many
+    files state a value and not on the number of works. A case is the sum of its patterns' hashes, so that no work is
+    gathered in one row.
     """
     claims = cut(_claims(files), "claims")
     covers = claims.select("work_id", "field", "source", "document_id").distinct().groupBy("work_id", "field", "source").agg(F.count("*").alias("n"))
@@ -87,23 +90,31 @@ def judged_values(files: DataFrame, rounds: int = 12) -> tuple[DataFrame, DataFr
     facts = shown.join(covers, ["work_id", "field"]).join(said, ["work_id", "field", "key", "source"], "left")
     facts = facts.groupBy("work_id", "field", "key", "value").agg(F.array_sort(F.collect_list(F.struct("source", F.coalesce("pos", F.lit(0)).alias("pos"), (F.col("n") - F.coalesce("pos", F.lit(0))).alias("neg")))).alias("evidence"))
     facts = cut(facts.withColumn("pattern", F.xxhash64("field", "evidence")), "facts")
-    patterns = facts.groupBy("pattern", "field", "evidence").agg(F.count("*").alias("w"))
-    votes = cut(patterns.select("pattern", "field", "w", F.inline("evidence")), "patterns")
+    cases = facts.groupBy("work_id", "field").agg(F.sum(F.xxhash64("pattern", F.lit(1)).cast("decimal(38,0)")).alias("case"))
+    facts = cut(facts.join(cases, ["work_id", "field"]), "cased-facts")
+    single = F.col("field") != "authors"
+    # Rows of a pattern in a case: how many values of one work, and of all.
+    members = facts.groupBy("case", "field", "pattern", "work_id").agg(F.count("*").alias("m")).groupBy("case", "field", "pattern").agg(F.sum("m").alias("w"), F.max("m").alias("m"))
+    members = cut(members, "cases")
+    votes = cut(facts.groupBy("pattern", "field").agg(F.min("evidence").alias("evidence")).select("pattern", "field", F.inline("evidence")), "patterns")
     # Start: a value is as likely true as its share of the files that state the field.
-    belief = votes.groupBy("pattern").agg((F.sum("pos") / F.sum(F.col("pos") + F.col("neg"))).alias("p"))
+    start = votes.groupBy("pattern").agg((F.sum("pos") / F.sum(F.col("pos") + F.col("neg"))).alias("p"))
+    belief = members.join(start, "pattern").select("case", "field", "pattern", "w", "m", "p")
     quality = None
     for _ in range(rounds):
         # M: rates per source, with one pseudo-observation of 0.8 sensitivity and 0.9 specificity a source.
-        held = votes.join(belief, "pattern")
-        quality = held.groupBy("field", "source").agg(
-            ((F.sum(F.expr("w * p * pos")) + 8.0) / (F.sum(F.expr("w * p * (pos + neg)")) + 10.0)).alias("sensitivity"),
-            ((F.sum(F.expr("w * (1 - p) * neg")) + 9.0) / (F.sum(F.expr("w * (1 - p) * (pos + neg)")) + 10.0)).alias("specificity"),
+        mass = belief.groupBy("pattern").agg(F.sum(F.expr("w * p")).alias("yes"), F.sum(F.expr("w * (1 - p)")).alias("no"))
+        quality = votes.join(mass, "pattern").groupBy("field", "source").agg(
+            ((F.sum(F.expr("yes * pos")) + 8.0) / (F.sum(F.expr("yes * (pos + neg)")) + 10.0)).alias("sensitivity"),
+            ((F.sum(F.expr("no * neg")) + 9.0) / (F.sum(F.expr("no * (pos + neg)")) + 10.0)).alias("specificity"),
         )
-        prior = held.groupBy("field").agg(((F.sum(F.expr("w * p")) + 1.0) / (F.sum("w") + 2.0)).alias("prior"))
-        # E: posterior odds per pattern.
-        odds = votes.join(quality, ["field", "source"]).join(prior, "field").groupBy("pattern", "prior").agg(F.sum(F.expr("pos * ln(sensitivity / (1 - specificity)) + neg * ln((1 - sensitivity) / specificity)")).alias("z"))
-        belief = cut(odds.select("pattern", F.expr("1 / (1 + exp(-least(greatest(ln(prior / (1 - prior)) + z, -30), 30)))").alias("p")), "belief")
-    truth = facts.join(belief, "pattern").select("work_id", "field", "key", "value", F.round("p", 6).alias("truth"))
+        prior = belief.groupBy("field").agg(((F.sum(F.expr("w * p")) + 1.0) / (F.sum("w") + 2.0)).alias("prior"))
+        # E: posterior odds per pattern; where values exclude one another, shares of the case.
+        odds = votes.join(quality, ["field", "source"]).groupBy("pattern").agg(F.sum(F.expr("pos * ln(sensitivity / (1 - specificity)) + neg * ln((1 - sensitivity) / specificity)")).alias("z"))
+        scored = belief.drop("p").join(odds, "pattern").join(prior, "field").withColumn("o", F.exp(F.least(F.greatest(F.expr("ln(prior / (1 - prior)) + z"), F.lit(-30.0)), F.lit(30.0))))
+        total = scored.groupBy("case", "field").agg(F.sum(F.expr("m * o")).alias("total"))
+        belief = cut(scored.join(total, ["case", "field"]).select("case", "field", "pattern", "w", "m", F.when(single, F.col("o") / F.col("total")).otherwise(F.col("o") / (1 + F.col("o"))).alias("p")), "belief")
+    truth = facts.join(belief, ["case", "field", "pattern"]).select("work_id", "field", "key", "value", F.round("p", 6).alias("truth"))
     return truth, quality
 
 
