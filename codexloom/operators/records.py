@@ -56,6 +56,20 @@ def suspicious_names(names: DataFrame, words: en.Words = en.Words()) -> DataFram
     return names.where("name is not null").select("name").distinct().withColumn("reasons", reasons).where("reasons <> ''")
 
 
+#: A metric of a report has at most so many words, and no verb that makes it a sentence.
+METRIC_WORDS, COPULAS = 4, ("is", "are", "was", "were", "be", "been")
+
+
+def display_metrics(names: DataFrame, words: en.Words = en.Words()) -> DataFrame:
+    """(name) of distinct metric names fit to be shown: at most four words, none of them a copula, and not blocked.
+
+    Null and blank names are left out."""
+    bare = names.where("name is not null").select(tx.strip(tx.spaces("name")).alias("name")).where("name <> ''").distinct()
+    parts = F.split(tx.fold("name"), " ")
+    copula = F.arrays_overlap(parts, F.array(*[F.lit(w) for w in COPULAS]))
+    return bare.where((F.size(parts) <= METRIC_WORDS) & ~copula & ~F.upper("name").isin(*words.blocked_metrics))
+
+
 def corpus_audit(works: DataFrame, mentions: DataFrame) -> DataFrame:
     """Key figures as rows (measure, value): works, documents, works of several files, datasets per work, metric coverage,
     evidence rate (100 without evidence). ``mentions``: work_id, kind, name, n_evidence."""

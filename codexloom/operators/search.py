@@ -88,7 +88,10 @@ def vector_scores(blocks: DataFrame, query: str, vectors: DataFrame | None = Non
         return blocks.where("false").select("block_id", F.lit(0.0).alias("cosine"))
     q = spark.createDataFrame(sorted(counts.items()), "token string, tf long")
     n = blocks.where(tx.strip("text") != "").agg(F.count("*").alias("n_blocks"))
-    weighted = q.join(document_frequency(blocks), "token", "left").crossJoin(F.broadcast(n))
+    # Only the query's words are counted, so that no other token leaves its block.
+    asked = F.array(*[F.lit(w) for w in sorted(counts)])
+    df = blocks.where(tx.strip("text") != "").select(F.explode(F.array_intersect(tx.tokens("text"), asked)).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    weighted = q.join(df, "token", "left").crossJoin(F.broadcast(n))
     weight = (1 + F.log("tf")) * (F.log((F.col("n_blocks") + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1)
     hashed = weighted.groupBy(tx.hash_dimension("token", DIMENSIONS).alias("dim")).agg(F.sum(weight).alias("qw"))
     norm = hashed.agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))

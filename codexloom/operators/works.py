@@ -153,6 +153,20 @@ def strong_identities(works: DataFrame) -> DataFrame:
     return met.groupBy(F.col("l.work_id").alias("left_work_id"), F.col("r.work_id").alias("right_work_id")).agg(F.max(F.col("l.identity")).alias("identity"))
 
 
+def auto_merges(works: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """Merges that need no review: (primary, merged, identity, similarity), the smaller id being the primary.
+
+    Works with an equal identifier whose titles reach the ratio ``threshold`` and whose other identifiers do not
+    conflict. The table is the log of the merge; pairs that fail one of the tests stay for the review.
+    """
+    info = works.select("work_id", tx.title_key("title").alias("key"), tx.normal_doi("doi").alias("doi"), tx.normal_arxiv("arxiv_id").alias("arxiv"))
+    side = lambda s: info.select(*[F.col(c).alias(f"{s}_{c}") for c in info.columns])
+    met = strong_identities(works).join(side("l"), F.col("left_work_id") == F.col("l_work_id")).join(side("r"), F.col("right_work_id") == F.col("r_work_id"))
+    clash = F.coalesce(F.col("l_doi") != F.col("r_doi"), F.lit(False)) | F.coalesce(F.col("l_arxiv") != F.col("r_arxiv"), F.lit(False))
+    alike = met.where(~clash).withColumn("similarity", sim.ratio_at_least(threshold)("l_key", "r_key")).where("similarity > 0")
+    return alike.select(F.col("left_work_id").alias("primary"), F.col("right_work_id").alias("merged"), "identity", F.round("similarity", 4).alias("similarity"))
+
+
 def merge_works(works: DataFrame, merges: DataFrame) -> DataFrame:
     """Works after merging (primary, merged): document ids united, missing values filled, in a new snapshot.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import graphs, mentions, records, search, sections, works
-from ..sinks import exports
+from ..sinks import exports, reports
 from ..sources import files as sources
 from ..storage import cut
 
@@ -31,13 +31,15 @@ class Corpus:
         self.tables[name] = cut(df, name) if keep else df
 
 
-def ingest(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> Corpus:
-    """Files below ``path`` to a manifest with works, formats and selections.
+def ingest(spark: SparkSession, path: str, manifest: DataFrame | None = None, parsed: str | None = None) -> Corpus:
+    """Files below ``path`` to a manifest with works, formats and selections, and their blocks.
 
-    Files whose content the manifest already holds keep their rows and work ids.
+    Files whose content the manifest already holds keep their work ids, and its rows whose file is gone stay. Blocks of
+    PDF files are read from the layout parser's outputs below ``parsed``. A work's blocks come from its files of the
+    best format that has any.
     """
     out = Corpus()
-    content = sources.pdf_preflight(sources.read_content(spark, path))
+    content = cut(sources.pdf_preflight(sources.read_content(spark, path)), "contents")
     pages = content.where(tx.file_format("path") == "html").select("path", F.col("content").cast("string").alias("html"))
     docx = content.where(tx.file_format("path") == "docx")
     meta = sources.html_metadata(pages).select("path", "title", "authors", "year").unionByName(sources.docx_metadata(docx).select("path", tx.clean_title("title").alias("title"), "authors", F.lit(None).cast("int").alias("year")))
@@ -55,9 +57,17 @@ def ingest(spark: SparkSession, path: str, manifest: DataFrame | None = None) ->
         rows = rows.withColumn("known", F.lit(False))
     grouped = cut(works.title_groups(rows).withColumn("work_id", F.col("group_work_id")).drop("group_work_id"), "grouped")
     clustered = grouped.join(works.cluster_works(grouped, works.fuzzy_edges(grouped)), "document_id").withColumn("work_id", F.col("cluster_work_id")).drop("cluster_work_id")
+    if manifest is not None:
+        gone = manifest.join(clustered.select("sha256"), "sha256", "left_anti")
+        clustered = clustered.unionByName(gone.select(*[c for c in clustered.columns if c in gone.columns]), allowMissingColumns=True)
     out.put("manifest", works.format_policy(clustered), keep=True)
     blocks = sources.html_blocks(pages).unionByName(sources.docx_blocks(docx))
-    ids = out["manifest"].select("path", "document_id").where(F.col("selected"))
+    if parsed is not None:
+        stems = out["manifest"].where("format = 'pdf'").select("path", F.regexp_extract("path", r"([^/]+)\.[^.]*$", 1).alias("stem"))
+        blocks = blocks.unionByName(sources.parser_json_blocks(sources.read_parsed(spark, parsed).join(stems, "stem").select("path", "json")))
+    blocks = cut(blocks, "read-blocks")
+    readable = works.format_policy(out["manifest"].drop("selected", "reason").join(blocks.select("path").distinct(), "path", "left_semi"))
+    ids = readable.select("path", "document_id").where(F.col("selected"))
     named = blocks.join(ids, "path").select("document_id", "idx", "type", "heading_level", "page_index", "text")
     out.put("blocks", named.withColumn("block_id", tx.block_id(F.col("document_id"), F.col("idx"), F.col("type"), F.col("text"))), keep=True)
     return out
@@ -75,9 +85,11 @@ def analyze(corpus: Corpus, terms: DataFrame | None = None, aliases: DataFrame |
     out.put("metrics", mentions.metric_mentions(body), keep=True)
     out.put("results", mentions.result_sentences(body))
     out.put("references", mentions.references(body), keep=True)
-    owner = files.select("document_id", "work_id")
+    owner = out["manifest"].select("document_id", "work_id", "title")
     merged = files.groupBy("work_id").agg(F.max_by("title", "document_id").alias("title"), F.max_by("authors", "document_id").alias("authors"), F.max("year").alias("year"), F.max("doi").alias("doi"), F.max("arxiv_id").alias("arxiv_id"), F.array_sort(F.collect_set("document_id")).alias("document_ids"), F.lit("unreviewed").alias("merge_status"))
     out.put("works", merged, keep=True)
+    named = owner
+    owner = owner.drop("title")
     owned = out["datasets"].join(owner, "document_id")
     refs = out["references"].join(owner, "document_id")
     labels = mentions.taxonomy_labels(body.join(owner, "document_id"), aliases) if aliases is not None else None
@@ -94,7 +106,7 @@ def analyze(corpus: Corpus, terms: DataFrame | None = None, aliases: DataFrame |
     nodes, edges = graphs.knowledge_graph(out["works"], owned.select("work_id", "name"), tagged, out["citations"], out["related"])
     out.put("kg_nodes", nodes)
     out.put("kg_edges", edges)
-    indexed = body.join(files.select("document_id", "title"), "document_id").select("block_id", "title", F.col("section_role").alias("section"), "text")
+    indexed = body.join(named.select("document_id", "title"), "document_id").select("block_id", "title", F.col("section_role").alias("section"), "text")
     out.put("search_blocks", indexed, keep=True)
     out.put("search_vectors", search.tfidf_vectors(out["search_blocks"]), keep=True)
     evidence = out["statements"].select("document_id", "block_id", F.lit(None).cast("int").alias("page_index"), F.lit(None).cast("string").alias("section"))
@@ -110,6 +122,30 @@ def check_evidence(corpus: Corpus) -> int:
     return counts.get(True, 0)
 
 
+REPORTS = ("all_works", "datasets", "references", "audit", "literature_review")
+
+
+def report(corpus: Corpus, kind: str, path: str) -> None:
+    """Write one of :data:`REPORTS` as Markdown."""
+    named = corpus["datasets"].join(corpus["manifest"].select("document_id", "work_id"), "document_id").select("work_id", "name")
+    if kind == "all_works":
+        rows = reports.all_works_report(corpus["works"])
+    elif kind == "datasets":
+        index = reports.dataset_index(corpus["works"], named)
+        rows = index.select(F.col("name").alias("ord"), F.concat(F.lit("- **"), "name", F.lit("** ("), F.col("n_works").cast("string"), F.lit("): "), "works").alias("markdown"))
+    elif kind == "references":
+        rows = reports.reference_report(corpus["works"], corpus["references"].join(corpus["manifest"].select("document_id", "work_id"), "document_id"))
+    elif kind == "audit":
+        mentioned = named.select("work_id", F.lit("dataset").alias("kind"), "name", F.lit(1).alias("n_evidence"))
+        rows = reports.audit_report(records.corpus_audit(corpus["works"], mentioned), records.suspicious_names(named))
+    elif kind == "literature_review":
+        said = corpus["statements"].join(corpus["manifest"].select("document_id", "work_id"), "document_id").withColumn("locator", tx.locator(F.col("document_id"), F.col("block_id"), F.lit(None).cast("int")))
+        rows = reports.statement_report(corpus["works"], said, ("research_problem", "methodology", "results", "limitations"))
+    else:
+        raise ValueError(f"unknown report {kind!r}: {', '.join(REPORTS)}")
+    reports.write_report(rows, kind.replace("_", " ").capitalize(), path)
+
+
 def export(corpus: Corpus, kind: str, path: str) -> None:
     """Write the works as bibtex, csv or jsonld."""
     if kind == "bibtex":

@@ -48,9 +48,12 @@ def _search_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _aliases(spark: SparkSession, sf: str) -> DataFrame:
-    words = table(spark, sf, "documents").where("lang = 'en'")
-    spark_rows = [("task", "task.depth_completion", "depth completion"), ("task", "task.entity_linking", "entity linking"), ("approach", "approach.sparse", "sparse"), ("approach", "approach.attention", "attention"), ("place", "place.selborne_ruun", "Selborne-Ruun"), ("sign", "sign.c_sharp", "C#")]
-    return words.sparkSession.createDataFrame(spark_rows, "facet string, label_id string, alias string")
+    """The facet labels of all works: a label is called by its words, and by those behind the first; and two with signs."""
+    label = F.lower(F.trim("label"))
+    labels = table(spark, sf, "work_features").select(F.explode("facets").alias("label")).select(label.alias("label_id")).where(F.col("label_id").rlike(r"^[a-z]+\.[a-z]+(_[a-z]+)+$")).distinct()
+    words = F.replace(F.split_part("label_id", F.lit("."), F.lit(2)), F.lit("_"), F.lit(" "))
+    named = labels.select(F.split_part("label_id", F.lit("."), F.lit(1)).alias("facet"), "label_id", F.explode(F.array(words, F.regexp_replace(words, "^[a-z]+ ", ""))).alias("alias"))
+    return named.unionByName(spark.createDataFrame([("place", "place.selborne_ruun", "Selborne-Ruun"), ("sign", "sign.c_sharp", "C#")], "facet string, label_id string, alias string"))
 
 
 # --- the next run's work (problem 2) ---
@@ -125,6 +128,11 @@ def match_candidates_blocked(spark: SparkSession, sf: str) -> DataFrame:
     return works.trigram_candidates(table(spark, sf, "works").select(F.col("work_id").alias("document_id"), tx.title_key("title").alias("title_key")))
 
 
+@query
+def match_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return works.match_candidates(_files(spark, sf).select("document_id", "work_id", "title_key"))
+
+
 @query
 def fuzzy_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return works.fuzzy_key_pairs(table(spark, sf, "works").select(tx.title_key("title").alias("title_key")))
@@ -211,7 +219,10 @@ def markdown_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def block_violations(spark: SparkSession, sf: str) -> DataFrame:
-    return records.violations(table(spark, sf, "sections").dropDuplicates(["block_id"]), records.block_rules(), "block_id")
+    """Blocks whose page and box were damaged on purpose: pages count from -1, titles lose a side of their box."""
+    rows = table(spark, sf, "sections").dropDuplicates(["block_id"])
+    damaged = rows.withColumn("page_index", F.col("page_index") - 1).withColumn("bbox", F.when(F.col("type") == "title", F.slice("bbox", 1, 3)).otherwise(F.col("bbox")))
+    return records.violations(damaged, records.block_rules(), "block_id")
 
 
 # --- mentions ---
@@ -297,6 +308,11 @@ def suspicious_names(spark: SparkSession, sf: str) -> DataFrame:
     return records.suspicious_names(table(spark, sf, "experiments").where("kind = 'dataset'"))
 
 
+@query
+def metric_display_names(spark: SparkSession, sf: str) -> DataFrame:
+    return records.display_metrics(table(spark, sf, "experiments").where("kind = 'metric'"))
+
+
 @query
 def gold_prf(spark: SparkSession, sf: str) -> DataFrame:
     m = table(spark, sf, "experiments").where("name is not null and work_id is not null and kind is not null")
@@ -343,9 +359,14 @@ def related_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _references(spark: SparkSession, sf: str) -> DataFrame:
-    flat = table(spark, sf, "work_features").select("work_id", F.posexplode("reference_keys").alias("ref_index", "raw")).where("raw is not null and trim(raw) <> ''").withColumn("raw", F.trim("raw"))
-    low = F.lower("raw")
-    return flat.select("work_id", "ref_index", F.regexp_replace("raw", "^(?i)(title|doi|arxiv):", "").alias("raw"), F.when(low.startswith("title:"), F.regexp_replace("raw", "^(?i)title:", "")).alias("title"), F.when(low.startswith("doi:"), F.regexp_replace(low, "^doi:", "")).alias("doi"), F.when(low.startswith("arxiv:"), F.regexp_replace(low, "^arxiv:", "")).alias("arxiv_id"))
+    """Two references of every work: to the first work of its year by title, and to the last one by its identifiers too."""
+    w = table(spark, sf, "works")
+    ends = w.groupBy("year").agg(F.min("work_id").alias("first"), F.max("work_id").alias("last"))
+    cited = w.select(F.col("work_id").alias("target"), "title", "doi", "arxiv_id")
+    flat = w.select("work_id", "year").join(ends, "year").select("work_id", F.posexplode(F.array("first", "last")).alias("ref_index", "target")).where("work_id <> target")
+    none = F.lit(None).cast("string")
+    by_id = lambda c: F.when(F.col("ref_index") == 1, F.col(c)).otherwise(none).alias(c)
+    return flat.join(cited, "target").select("work_id", "ref_index", F.coalesce("title", F.lit("")).alias("raw"), "title", by_id("doi"), by_id("arxiv_id"))
 
 
 @query

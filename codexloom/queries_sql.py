@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .functions import entities as en
 from .functions import text as tx
+from .operators import records
 
 _FOLD = "replace(lower({0}), 'ß', 'ss')"
 _KEY = rf"regexp_replace(regexp_replace(regexp_replace({_FOLD}, '\b({'|'.join(tx.EDITION_WORDS)})\b', ' ', 'g'), '(?s)\s*[:—–]\s+.*$', ''), '[^a-z0-9]+', '', 'g')"
@@ -117,11 +119,30 @@ comp as (select node, min(other) as component from reach group by node)"""
 _BIB = r"""'@article{' || regexp_replace(coalesce(regexp_extract(authors[1], '(\S+)$', 1), 'Paper'), '[^A-Za-z]', '', 'g') || coalesce(year::varchar, right(work_id, 6)) || ','"""
 _METRIC = r"(?:[A-Z]{2,8}[0-9]*|[a-z]{1,2}[A-Z][A-Za-z0-9]{1,6}|[A-Z][0-9]+)"
 _BLOCKED = "('CPU', 'CNN', 'GB', 'GPU', 'ID', 'IN', 'MB', 'RAM', 'RGB', 'THE', 'US', 'USA', 'USD')"
-_ALIASES = "al as (select * from (values ('task', 'task.depth_completion', 'depth completion'), ('task', 'task.entity_linking', 'entity linking'), ('approach', 'approach.sparse', 'sparse'), ('approach', 'approach.attention', 'attention'), ('place', 'place.selborne_ruun', 'Selborne-Ruun'), ('sign', 'sign.c_sharp', 'C#')) t(facet, label_id, alias))"
+_ALIASES = r"""lb as (select distinct lower(trim(l)) as label_id from (select unnest(facets) as l from work_features)),
+al as (select split_part(label_id, '.', 1) as facet, label_id, unnest([replace(split_part(label_id, '.', 2), '_', ' '), regexp_replace(replace(split_part(label_id, '.', 2), '_', ' '), '^[a-z]+ ', '')]) as alias from lb where regexp_matches(label_id, '^[a-z]+\.[a-z]+(_[a-z]+)+$')
+  union all select * from (values ('place', 'place.selborne_ruun', 'Selborne-Ruun'), ('sign', 'sign.c_sharp', 'C#')) t(facet, label_id, alias))"""
 _FACETS = rf"""{B}, {_ALIASES}, own as (select work_id, unnest(document_ids) as document_id from works),
-lab as (select distinct work_id, document_id, idx, block_id, facet, label_id from b join own using (document_id), al where regexp_matches(text, '(?i)(^|[^A-Za-z0-9])' || replace(alias, '#', '\#') || '([^A-Za-z0-9]|$)')),
+lab as (select distinct work_id, document_id, idx, block_id, facet, label_id from b join own using (document_id), al where contains(lower(text), lower(alias)) and regexp_matches(text, '(?i)(^|[^A-Za-z0-9])' || replace(alias, '#', '\#') || '([^A-Za-z0-9]|$)')),
 labels as (select work_id, facet, label_id, count(*) as n_blocks, string_agg(block_id, ',' order by rn) filter (rn <= 3) as evidence from (select *, row_number() over (partition by work_id, facet, label_id order by document_id, idx, block_id) as rn from lab) group by all)"""
 
+_LIST = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
+_YEAR = r"\b(?:19[0-9]{2}|20[0-9]{2})\b"
+_QUOTES = "\"“”''‘’"
+_REFS = f"""w as (select * from works), ends as (select year, min(work_id) as f, max(work_id) as l from w where year is not null group by year),
+flat as (select w.work_id, 0 as ref_index, f as target from w join ends using (year) union all select w.work_id, 1, l from w join ends using (year)),
+refs as (select flat.work_id as source_work_id, ref_index, {key('t.title')} as k, case when ref_index = 1 then replace(lower(t.doi), 'ß', 'ss') end as doi, case when ref_index = 1 then replace(lower(t.arxiv_id), 'ß', 'ss') end as arxiv from flat join w t on t.work_id = flat.target where flat.work_id <> flat.target),
+verified as (select source_work_id, ref_index, min(w.work_id) as target_work_id from refs join w on (replace(lower(w.doi), 'ß', 'ss') = refs.doi or replace(lower(w.arxiv_id), 'ß', 'ss') = refs.arxiv) and w.work_id <> source_work_id group by all),
+titled as (select source_work_id, ref_index, min(w.work_id) as target_work_id from refs join w on {key('w.title')} = refs.k and w.work_id <> source_work_id where length(refs.k) >= 8 and (source_work_id, ref_index) not in (select (source_work_id, ref_index) from verified) group by all),
+cite as (select *, 'verified' as status, 1.0::double as confidence from verified union all select *, 'candidate', 1.0 from titled)"""
+_NODES = rf"""ds as (select distinct work_id, 'dataset:' || {key('name')} as id from experiments where kind = 'dataset' and name is not null and work_id is not null and trim(name) <> '' and {strip('name')} <> ''),
+nodes as (select 'paper' as type, work_id as id from works union select 'dataset', id from ds union select 'taxonomy', 'facet:' || label_id from labels)"""
+_PATHS = rf"""{B}, e as (select block_id, document_id, idx, {strip("coalesce(text, '')")} as t, case when type in ('title', 'heading') then case when regexp_matches(text, '^[0-9]+\.[0-9]') then 3 when idx = 0 then 1 else 2 end end as level from b),
+ev as (select *, level is not null and t <> '' as h, row_number() over (partition by document_id order by idx) as rn from e where (level is not null and t <> '') or regexp_matches(t, '(?i)^abstract\b')),
+p as (select document_id, rn, idx, case when h then [t] else ['Abstract'] end as path from ev where rn = 1
+  union all select ev.document_id, ev.rn, ev.idx, case when ev.h then list_concat(p.path[1:ev.level - 1], [ev.t]) else ['Abstract'] end from p join ev on ev.document_id = p.document_id and ev.rn = p.rn + 1)"""
+_DOUBTS = " || ".join(f"case when regexp_matches(name, '{p.replace('(?=.{1,2}$)[^0-9]*', '[^0-9]{1,2}')}') then '; {reason}' else '' end" for reason, p in records.SUSPICIONS)
+
 ORACLE: dict[str, str] = {
     "p2_found": f"{_P2} select document_id, stage from open o where {_P2_LEFT}",
     "p2_delta": _P2_DELTA,
@@ -186,7 +207,7 @@ ORACLE: dict[str, str] = {
         e as (select document_id, idx, block_id, unnest(range(len(l))) as sub, unnest(l) as s from p),
         r as (select document_id, block_id, {strip('s')} as sentence, row_number() over (partition by document_id order by idx, block_id, sub)::int as ord from e where regexp_matches(s, '[0-9]') and regexp_matches(s, '[A-Z][A-Za-z0-9]{{1,7}}'))
         select * from r where ord <= 20""",
-    "taxonomy_facets": rf"""with {_FACETS} select work_id, facet, label_id, case label_id when 'task.depth_completion' then 'Depth Completion' when 'task.entity_linking' then 'Entity Linking' when 'approach.sparse' then 'Sparse' when 'approach.attention' then 'Attention' when 'place.selborne_ruun' then 'Selborne Ruun' else 'C Sharp' end as name, n_blocks, evidence from labels""",
+    "taxonomy_facets": rf"""with {_FACETS} select work_id, facet, label_id, array_to_string(list_transform(string_split(replace(split_part(label_id, '.', 2), '_', ' '), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') as name, n_blocks, evidence from labels""",
     "facet_collections": rf"with {_FACETS} select facet, label_id, count(*) as n_works, sha256(array_to_string(list_sort(list(coalesce(title, ''))), '; ')) as titles_sha256 from labels join works using (work_id) group by facet, label_id",
     "statement_aggregate": rf"""with s as (select distinct work_id, kind as field, mention_id as pos, name as statement, coalesce(len(evidence), 0) as n from experiments where name is not null), k as (select *, replace(lower({strip('statement')}), 'ß', 'ss') as k from s where {strip('statement')} <> '')
         select work_id, field, min(pos) as first_pos, arg_max(statement, (n, -pos)) as statement, max(n)::int as n_evidence from k group by work_id, field, k""",
@@ -233,4 +254,33 @@ ORACLE: dict[str, str] = {
     "html_blocks": rf"""with {B} select path, (row_number() over (partition by path order by p) - 1)::int as idx, type, level::int as heading_level, null::int as page_index, text from (
         select block_id as path, 0 as p, 'title' as type, 1 as level, block_id as text from b where text is not null union all select block_id, 1, 'heading', 2, 'Part' from b where text is not null
         union all select block_id, 2, 'paragraph', null, regexp_replace(regexp_replace(text, '[\s\x{{00a0}}\x{{0085}}\x{{2028}}]+', ' ', 'g'), '^ | $', '', 'g') from b where text is not null union all select block_id, 3, 'list_item', null, 'end' from b where text is not null) where text <> ''""",
+    "section_paths": f"with recursive {_PATHS} select block_id, array_to_string(coalesce(p.path, ['Front matter']), ' > ') as section from e asof left join p on e.document_id = p.document_id and e.idx >= p.idx",
+    "prompt_budgets": f"""with {B}, r as (select *, row_number() over (partition by document_id order by idx, block_id) as rn from b where text is not null and section_role in ('abstract', 'methodology', 'results')),
+        p as (select document_id, left(string_agg('[' || block_id || '] ' || left(text, 1800), chr(10) order by idx, block_id), 60000) as prompt from r where rn <= 80 group by document_id) select document_id, length(prompt) as n_chars, sha256(prompt) as prompt_sha256 from p""",
+    "block_violations": r"""with d as (select distinct block_id, document_id, type, heading_level, page_index - 1 as page_index, case when type = 'title' then bbox[1:3] else bbox end as bbox, source.source_index as si from sections),
+        e as (select block_id, concat_ws(',', case when not coalesce(bbox is null or len(bbox) = 4, false) then 'bbox' end, case when not coalesce(regexp_matches(block_id, '^blk_[0-9a-f]{20}$'), false) then 'block_id' end, case when not coalesce(regexp_matches(document_id, '^doc_[0-9a-f]{16}$'), false) then 'document_id' end,
+          case when heading_level < 1 then 'heading_level' end, case when page_index < 0 then 'page_index' end, case when not coalesce(si >= 0, false) then 'source_index' end, case when not coalesce(length(type) >= 1, false) then 'type' end) as errors from d) select * from e where errors <> ''""",
+    "reference_parse": rf"""with r as (select work_id, '[7] ' || array_to_string(coalesce(authors, []), ', ') || ' (' || coalesce(year::varchar, 'n.d.') || '). ' || coalesce(regexp_replace(title, '[.!?]', ',', 'g'), 'Untitled') || '. doi ' || coalesce(doi, 'none') || '.' as raw from works),
+        l as (select *, trim(regexp_replace(raw, '^\s*\[?[0-9]+\]?[.\s]+', '')) as line from r),
+        f as (select *, regexp_extract(line, '{_YEAR}', 0) as y, trim(regexp_extract(line, '[{_QUOTES}]([^{_QUOTES}]+)[{_QUOTES}]', 1)) as quoted, regexp_matches(line, '[{_QUOTES}]([^{_QUOTES}]+)[{_QUOTES}]') as has_quote,
+          trim(regexp_extract(line, '(?s)^.*?{_YEAR}[ .:,;\t-]*([^.!?]*)', 1)) as after, regexp_replace(regexp_extract(line, '(?s)^(.*?){_YEAR}', 1), '^[ (.,;:-]+|[ (.,;:-]+$', '', 'g') as before from l)
+        select work_id, raw, case when has_quote then quoted when y <> '' and length(after) > 5 then after end as title,
+          case when y <> '' then array_to_string(list_filter(list_transform(string_split_regex(before, '[,;]|\band\b'), lambda x: trim(x)), lambda x: length(x) between 2 and 60 and not regexp_matches(x, '^[0-9]+$')), '; ') else '' end as authors,
+          nullif(y, '')::int as year, nullif(regexp_replace(regexp_extract(line, '(?i)\b10\.[0-9]{{4,9}}/[-._;()/:A-Z0-9]+', 0), '[.,;)]+$', ''), '') as doi from f""",
+    "suspicious_names": f"""with n as (select distinct name from experiments where kind = 'dataset' and name is not null),
+        r as (select name, case when {_FOLD.format('name')} in {_LIST(en.Words().stopwords)} then '; matches stopword' else '' end || case when {_FOLD.format('name')} in {_LIST(en.Words().not_datasets)} then '; matches known false positive' else '' end || {_DOUBTS} as x from n) select name, substr(x, 3) as reasons from r where x <> ''""",
+    "metric_display_names": rf"""with n as (select distinct {strip(_SQUEEZE.format('name'))} as name from experiments where kind = 'metric' and name is not null)
+        select name from n where name <> '' and len(string_split(name, ' ')) <= {records.METRIC_WORDS} and not list_has_any(string_split({_FOLD.format('name')}, ' '), {list(records.COPULAS)}) and upper(name) not in {_LIST(en.Words().blocked_metrics)}""",
+    "citation_links": f"with {_REFS} select * from cite",
+    "verified_citations": f"with {_REFS} select target_work_id, count(*) as citations from cite where status = 'verified' group by 1",
+    "jsonld_rows": """select work_id, '{"@type":"ScholarlyArticle","@id":' || to_json(work_id) || coalesce(',"name":' || to_json(title), '') || case when len(authors) > 0 then ',"author":[' || array_to_string(list_transform(authors, lambda a: '{"@type":"Person"' || coalesce(',"name":' || to_json(a), '') || '}'), ',') || ']' else '' end
+        || coalesce(',"datePublished":"' || year || '"', '') || coalesce(',"sameAs":' || to_json('https://doi.org/' || nullif(doi, '')), '') || '}' as json from works""",
 }
+_GRAPH = f"{_FACETS}, {_REFS.replace('w as (select * from works), ', '', 1)}, {_NODES}"
+ORACLE["knowledge_graph_nodes"] = f"with w as (select * from works), {_GRAPH} select type, count(*) as n from nodes group by type"
+ORACLE["graph_summary"] = f"""with w as (select * from works), {_GRAPH}, top as ({ORACLE['related_topk']})
+    select 'nodes:' || type as measure, count(*) as n from nodes group by type
+    union all select 'edges:citation', count(distinct (source_work_id, target_work_id)) from cite having count(*) > 0
+    union all select 'edges:related', count(*) from top having count(*) > 0
+    union all select 'edges:evaluated_on', count(distinct (work_id, id)) from ds having count(*) > 0
+    union all select 'edges:classified_as', count(distinct (work_id, label_id)) from labels having count(*) > 0"""

@@ -23,21 +23,39 @@ BLOCK_TAGS = {"title": "title", "p": "paragraph", "li": "list_item", "blockquote
 SILENT_TAGS = frozenset(("script", "style", "nav"))
 
 
+def _outside_corpora(files: DataFrame) -> DataFrame:
+    """Files that lie in no folder that is itself a generated corpus (it holds ``manifests/last_pipeline.json``).
+
+    Every file meets the roots by its folders, an equal join."""
+    roots = files.where(F.col("path").endswith("/manifests/last_pipeline.json")).select(F.regexp_replace("path", "/manifests/last_pipeline.json$", "").alias("folder"))
+    parts = F.split("path", "/")
+    folders = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    nested = files.select("path", F.explode(folders).alias("folder")).join(roots, "folder", "left_semi").select("path").distinct()
+    return files.join(nested, "path", "left_anti")
+
+
 def discover(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, format, supported) of all files below a folder of any Hadoop file system.
 
     Files below a folder that is itself a generated corpus (it holds ``manifests/last_pipeline.json``) are left out.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    roots = files.where(F.col("path").endswith("/manifests/last_pipeline.json")).select(F.regexp_replace("path", "/manifests/last_pipeline.json$", "/").alias("root"))
-    nested = files.join(roots, F.col("path").startswith(F.col("root")), "left_anti")
-    return nested.withColumn("format", tx.file_format("path")).withColumn("supported", F.col("format").isNotNull()).orderBy("path")
+    return _outside_corpora(files).withColumn("format", tx.file_format("path")).withColumn("supported", F.col("format").isNotNull()).orderBy("path")
 
 
 def read_content(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content, sha256) of the supported files."""
+    """(path, content, sha256) of the supported files that :func:`discover` finds."""
+    wanted = discover(spark, path).where("supported").select("path")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(tx.file_format("path").isNotNull())
-    return files.select("path", "content", F.sha2("content", 256).alias("sha256"))
+    return files.join(wanted, "path", "left_semi").select("path", "content", F.sha2("content", 256).alias("sha256"))
+
+
+def read_parsed(spark: SparkSession, path: str) -> DataFrame:
+    """(stem, json, size) of the layout parser's outputs below a folder, the largest of each stem: ``<stem>.json``,
+    ``<stem>_content_list.json`` or ``<stem>_middle.json``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path)
+    stem = F.regexp_replace(F.regexp_extract("path", r"([^/]+)\.json$", 1), "_(?:content_list|middle)$", "")
+    return files.groupBy(stem.alias("stem")).agg(F.max_by(F.struct(F.col("content").cast("string").alias("json"), F.col("length").alias("size")), F.struct("length", "path")).alias("r")).select("stem", "r.*")
 
 
 def pdf_preflight(files: DataFrame) -> DataFrame:

@@ -25,15 +25,33 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         current = spark.sparkContext.getCheckpointDir()
         if current is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="codexloom-"))
             current = spark.sparkContext.getCheckpointDir()
         found = current
     return found.rstrip("/")
 
 
+#: Scratch folders of each application that are not deleted yet.
+_made: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/codexloom-{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, deleted by :func:`clear_scratch`."""
+    path = f"{shared_dir(spark)}/codexloom-{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this application once no table made of them is read any more; how many there were."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(hadoop).delete(folder, True)
+    return len(paths)
 
 
 def cut(df: DataFrame, label: str = "table") -> DataFrame:

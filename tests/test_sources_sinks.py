@@ -93,3 +93,67 @@ def test_pipeline_end_to_end(spark, tmp_path):
     pipeline.export(corpus, "csv", str(tmp_path / "csv"))
     again = pipeline.ingest(spark, str(src), corpus["manifest"])
     assert {r.work_id for r in again["manifest"].collect()} == {r.work_id for r in corpus["manifest"].collect()}
+
+
+def test_a_generated_corpus_inside_the_input_is_left_out(spark, tmp_path):
+    src = tmp_path / "src"
+    (src / "old" / "manifests").mkdir(parents=True)
+    (src / "old" / "manifests" / "last_pipeline.json").write_text("{}")
+    (src / "old" / "x.html").write_text("<p>x</p>")
+    (src / "older.html").write_text("<p>y</p>")
+    assert [r.path.rsplit("/", 1)[1] for r in files.discover(spark, str(src)).where("supported").collect()] == ["older.html"]
+    assert [r.path.rsplit("/", 1)[1] for r in files.read_content(spark, str(src)).collect()] == ["older.html"]
+
+
+def test_command_line_from_files_to_reports(spark, tmp_path, monkeypatch):
+    """A work of a PDF with the parser's output, one whose PDF has none but whose page has, and a file that goes away."""
+    from codexloom import __main__ as cli
+
+    src, parsed, out = tmp_path / "src", tmp_path / "parsed", tmp_path / "out"
+    src.mkdir(), parsed.mkdir()
+    text = "This work studies the flow of water in rivers with great care and patience over years. " * 3
+    page = "<title>{0}</title><h2>Abstract</h2><p>" + text + "</p><h2>Results</h2><p>The Alpha dataset gave DSC of 0.95 in all of the runs that we made for this test.</p>"
+    (src / "rivers_of_the_north.pdf").write_bytes(b"%PDF-1.4 a")
+    (parsed / "rivers_of_the_north_content_list.json").write_text(json.dumps([{"type": "text", "text": "Abstract", "text_level": 1, "page_idx": 0}, {"type": "text", "text": text, "page_idx": 1}]))
+    (src / "glaciers_of_the_south.pdf").write_bytes(b"%PDF-1.4 b")
+    (src / "glaciers_of_the_south.html").write_text(page.format("glaciers of the south"))
+    (src / "gone_after_the_first_run.html").write_text(page.format("Gone after the first run"))
+    assert cli.main(["run", str(src), str(out), "--parsed", str(parsed)]) == 0
+    read = lambda name: spark.read.parquet(str(out / name))
+    owner = {r.document_id: r for r in read("manifest").collect()}
+    formats = {(owner[r.document_id].title, owner[r.document_id].format) for r in read("blocks").select("document_id").distinct().collect()}
+    assert formats == {("rivers of the north", "pdf"), ("glaciers of the south", "html"), ("Gone after the first run", "html")}
+    (src / "gone_after_the_first_run.html").unlink()
+    assert cli.main(["ingest", str(src), str(out), "--parsed", str(parsed)]) == 0
+    assert {r.title for r in read("manifest").collect()} == {"rivers of the north", "glaciers of the south", "Gone after the first run"}
+    for kind in cli.pipeline.REPORTS:
+        assert cli.main(["report", str(out), kind, str(tmp_path / kind)]) == 0
+    assert "glaciers of the south" in "".join(r.value for r in spark.read.text(str(tmp_path / "literature_review")).collect())
+    for command in (["graph", str(out), str(tmp_path / "graph")], ["citation-graph", str(out)], ["review", str(out)], ["merge", str(out)], ["status", str(out)], ["search", str(out), "water"], ["export", str(out), "csv", str(tmp_path / "csv")]):
+        assert cli.main(command) == 0
+    assert any("Alpha" in r.value for r in spark.read.text(str(tmp_path / "graph")).collect())
+
+
+def test_automatic_merges_need_identity_likeness_and_no_conflict(spark):
+    from codexloom.operators import works
+
+    rows = [("w1", "Flow of water in rivers", "10.1/a", None), ("w2", "Flow of water in river", "https://doi.org/10.1/A", None), ("w3", "Something else altogether", "10.1/a", None), ("w4", "Snow on roofs", "10.1/b", "2001.1"), ("w5", "Snow on roofs", "10.1/c", "2001.1"), ("w6", None, None, None)]
+    df = spark.createDataFrame(rows, "work_id string, title string, doi string, arxiv_id string")
+    assert [(r.primary, r.merged) for r in works.auto_merges(df).collect()] == [("w1", "w2")]
+
+
+def test_metrics_fit_to_be_shown(spark):
+    from codexloom.operators import records
+
+    df = spark.createDataFrame([("DSC",), ("mean error is low",), ("a score of five words",), ("GPU",), (None,), (" ",), ("peak  rate",)], "name string")
+    assert sorted(r.name for r in records.display_metrics(df).collect()) == ["DSC", "peak rate"]
+
+
+def test_scratch_tables_are_deleted(spark):
+    import os
+
+    from codexloom import storage
+
+    path = storage.cut(spark.range(3).toDF("x"), "probe").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and storage.clear_scratch(spark) >= 1
+    assert not os.path.exists(path) and storage.clear_scratch(spark) == 0
