@@ -36,15 +36,15 @@ def cited_items(items: DataFrame, blocks: DataFrame) -> DataFrame:
     return items.join(good, "item_id", "left_semi").withColumn("support_status", F.lit("evidence_cited_unverified"))
 
 
-#: Patterns of names that are hardly datasets, with the reason reported.
+#: The reasons reported for names that are hardly datasets, and their patterns.
 SUSPICIONS = (
-    ("suspiciously short", r"^(?=.{1,2}$)[^0-9]*$"),
+    ("suspiciously short (<= 2 chars)", r"^(?=.{1,2}$)[^0-9]*$"),
     ("contains sentence boundary", r"[.!?]\s+[A-Z]"),
-    ("contains table, figure or section marker", r"(?i)\b(table|fig|figure|section|appendix)\b"),
-    ("contains procedural word", r"(?i)\b(comparison|evaluations?|results?|ablation|baseline|methods?|details|statistics|overview|following|unlike|since)\b"),
+    ("contains table/figure/section marker", r"(?i)\b(table|fig|figure|section|appendix)\b"),
+    ("contains procedural/heading keyword", r"(?i)\b(comparison|evaluations?|results?|ablation|baseline|methods?|details|statistics|overview|following|unlike|since)\b"),
     ("contains prepositional phrase", r"(?i)\b(on|for|in|using|across)\s+the\b"),
-    ("upper-case phrase", r"^[^a-z]*[A-Z][^a-z\s]*(\s+[^a-z\s]+){2,}$"),
-    ("question marker", r"(?i)^Q[0-9]+\b"),
+    ("all-caps multi-word phrase (likely table heading)", r"^[^a-z]*[A-Z][^a-z\s]*(\s+[^a-z\s]+){2,}$"),
+    ("question questionnaire marker", r"(?i)^Q[0-9]+\b"),
 )
 
 
@@ -56,18 +56,17 @@ def suspicious_names(names: DataFrame, words: en.Words = en.Words()) -> DataFram
     return names.where("name is not null").select("name").distinct().withColumn("reasons", reasons).where("reasons <> ''")
 
 
-#: A metric of a report has at most so many words, and no verb that makes it a sentence.
-METRIC_WORDS, COPULAS = 4, ("is", "are", "was", "were", "be", "been")
+#: A metric of a report has at most so many words, and none of these verbs, which make it a sentence.
+METRIC_WORDS, METRIC_VERBS = 4, ("is", "was", "are", "were", "uses", "evaluated")
 
 
 def display_metrics(names: DataFrame, words: en.Words = en.Words()) -> DataFrame:
-    """(name) of distinct metric names fit to be shown: at most four words, none of them a copula, and not blocked.
+    """(name) of distinct metric names fit to be shown: at most four words, no verb, and not blocked.
 
     Null and blank names are left out."""
-    bare = names.where("name is not null").select(tx.strip(tx.spaces("name")).alias("name")).where("name <> ''").distinct()
-    parts = F.split(tx.fold("name"), " ")
-    copula = F.arrays_overlap(parts, F.array(*[F.lit(w) for w in COPULAS]))
-    return bare.where((F.size(parts) <= METRIC_WORDS) & ~copula & ~F.upper("name").isin(*words.blocked_metrics))
+    bare = names.where("name is not null").select(tx.strip("name").alias("name")).where("name <> ''").distinct()
+    verb = F.col("name").rlike(r"(?i)\b(?:" + "|".join(METRIC_VERBS) + r")\b")
+    return bare.where((F.size(F.split(tx.spaces("name"), " ")) <= METRIC_WORDS) & ~verb & ~F.upper("name").isin(*words.blocked_metrics))
 
 
 def corpus_audit(works: DataFrame, mentions: DataFrame) -> DataFrame:

@@ -269,8 +269,8 @@ ORACLE: dict[str, str] = {
           nullif(y, '')::int as year, nullif(regexp_replace(regexp_extract(line, '(?i)\b10\.[0-9]{{4,9}}/[-._;()/:A-Z0-9]+', 0), '[.,;)]+$', ''), '') as doi from f""",
     "suspicious_names": f"""with n as (select distinct name from experiments where kind = 'dataset' and name is not null),
         r as (select name, case when {_FOLD.format('name')} in {_LIST(en.Words().stopwords)} then '; matches stopword' else '' end || case when {_FOLD.format('name')} in {_LIST(en.Words().not_datasets)} then '; matches known false positive' else '' end || {_DOUBTS} as x from n) select name, substr(x, 3) as reasons from r where x <> ''""",
-    "metric_display_names": rf"""with n as (select distinct {strip(_SQUEEZE.format('name'))} as name from experiments where kind = 'metric' and name is not null)
-        select name from n where name <> '' and len(string_split(name, ' ')) <= {records.METRIC_WORDS} and not list_has_any(string_split({_FOLD.format('name')}, ' '), {list(records.COPULAS)}) and upper(name) not in {_LIST(en.Words().blocked_metrics)}""",
+    "metric_display_names": rf"""with n as (select distinct {strip('name')} as name from experiments where kind = 'metric' and name is not null)
+        select name from n where name <> '' and len(string_split({_SQUEEZE.format('name')}, ' ')) <= {records.METRIC_WORDS} and not regexp_matches(name, '(?i)\b({'|'.join(records.METRIC_VERBS)})\b') and upper(name) not in {_LIST(en.Words().blocked_metrics)}""",
     "citation_links": f"with {_REFS} select * from cite",
     "verified_citations": f"with {_REFS} select target_work_id, count(*) as citations from cite where status = 'verified' group by 1",
     "jsonld_rows": """select work_id, '{"@type":"ScholarlyArticle","@id":' || to_json(work_id) || coalesce(',"name":' || to_json(title), '') || case when len(authors) > 0 then ',"author":[' || array_to_string(list_transform(authors, lambda a: '{"@type":"Person"' || coalesce(',"name":' || to_json(a), '') || '}'), ',') || ']' else '' end
