@@ -514,25 +514,25 @@ def readable_paragraphs(sections: DataFrame, limit: int = 500_000) -> DataFrame:
     two chunks is joined by the chunk's carried-over first piece.
     """
     known = cut(frequent_words(cut(word_counts(sections), "word-counts")), "vocabulary")
-    blocks = cut(scanned_blocks(sections), "scanned-blocks")
-    dropped = page_lines(blocks).groupBy("block_id").agg(F.collect_set("line_no").alias("drop"))
-    kept = blocks.join(dropped, "block_id", "left").withColumn("lines", F.split("text", "\n"))
+    dropped = page_lines(scanned_rows(sections)).groupBy("block_id").agg(F.collect_set("line_no").alias("drop"))
+    kept = scanned_blocks(sections).join(dropped, "block_id", "left").withColumn("lines", F.split("text", "\n"))
     kept = kept.withColumn("text", F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.expr("array_join(filter(lines, (x, i) -> not array_contains(drop, i)), '\n')"))).drop("lines", "drop")
     kept = cut(kept, "kept-lines")
-    fixed = word_traces(kept, sections, known, limit).select("block_id", "fixed")
+    fixed = cut(word_traces(kept, sections, known, limit).select("block_id", "fixed"), "fixed-texts")
     flow = kept.join(fixed, "block_id", "left").withColumn("text", F.coalesce("fixed", "text"))
     plain = ~F.col("type").isin("code", "equation", "table")
     flow = flow.withColumn("text", F.when(plain, F.trim(F.regexp_replace("text", r"\s+", " "))).otherwise(F.col("text"))).where("trim(text) <> ''")
     body = flow.where(plain & (~F.col("type").isin("title", "heading", "header", "footer", "page_number") | _prose(F.col("text"), F.col("type")))).select("document_id", "block_id", "idx", "text")
-    chunk = F.floor(F.col("idx") / 2000)
+    # Where paragraphs start follows from two marks a block; the texts stay behind until they are grouped.
+    marks = body.select("document_id", "block_id", "idx", F.floor(F.col("idx") / 2000).alias("chunk"), _ends_open(F.col("text")).alias("open"), F.col("text").rlike(r"^\p{Ll}").alias("low"))
+    marks = cut(marks, "paragraph-marks")
     order = Window.partitionBy("document_id", "chunk").orderBy("idx", "block_id")
-    body = body.withColumn("chunk", chunk)
-    last = body.groupBy("document_id", "chunk").agg(F.max_by("text", F.struct("idx", "block_id")).alias("carried")).select("document_id", (F.col("chunk") + 1).alias("chunk"), "carried")
-    opened = body.join(last, ["document_id", "chunk"], "left").withColumn("before", F.coalesce(F.lag("text").over(order), F.when(F.row_number().over(order) == 1, F.col("carried"))))
-    starts = F.col("before").isNull() | ~(_ends_open(F.col("before")) & F.col("text").rlike(r"^\p{Ll}"))
-    marked = opened.withColumn("start", F.when(starts, F.struct("idx", "block_id")))
+    last = marks.groupBy("document_id", "chunk").agg(F.max_by("open", F.struct("idx", "block_id")).alias("carried")).select("document_id", (F.col("chunk") + 1).alias("chunk"), "carried")
+    opened = marks.join(last, ["document_id", "chunk"], "left").withColumn("before", F.coalesce(F.lag("open").over(order), F.when(F.row_number().over(order) == 1, F.col("carried"))))
+    marked = opened.withColumn("start", F.when(F.col("before").isNull() | ~(F.col("before") & F.col("low")), F.struct("idx", "block_id")))
     sums = marked.groupBy("document_id", "chunk").agg(F.max("start").alias("latest"))
     earlier = sums.withColumn("carried_start", F.max("latest").over(Window.partitionBy("document_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))).select("document_id", "chunk", "carried_start")
-    named = marked.join(earlier, ["document_id", "chunk"]).withColumn("head", F.coalesce(F.last("start", ignorenulls=True).over(order), F.col("carried_start")))
+    heads = marked.join(earlier, ["document_id", "chunk"]).withColumn("head", F.coalesce(F.last("start", ignorenulls=True).over(order), F.col("carried_start")))
+    named = body.select("block_id", "idx", "text").join(heads.select("block_id", "document_id", "head"), "block_id")
     grouped = named.groupBy("document_id", "head").agg(F.array_sort(F.collect_list(F.struct("idx", "block_id", "text"))).alias("parts"))
     return grouped.select("document_id", F.col("head.idx").alias("paragraph"), F.col("head.block_id").alias("first_block"), F.size("parts").alias("n_blocks"), F.array_join("parts.text", " ").alias("text"))
