@@ -62,6 +62,22 @@ def cut(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark(spark: SparkSession) -> int:
+    """How many scratch folders there are; for :func:`drop_made`."""
+    return len(_made.get(spark.sparkContext.applicationId, []))
+
+
+def drop_made(spark: SparkSession, since: int, keep: tuple[DataFrame, ...]) -> None:
+    """Delete the scratch folders made after the mark ``since``, but those of the tables ``keep``, made by :func:`cut`."""
+    paths = _made.get(spark.sparkContext.applicationId, [])
+    held = {file.rsplit("/", 2)[-2] for df in keep for file in df.inputFiles()}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in [p for p in paths[since:] if p.rsplit("/", 1)[-1] not in held]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(hadoop).delete(folder, True)
+        paths.remove(path)
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`cut` once nothing reads it any more."""
     spark = df.sparkSession
