@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import cut
+from ..storage import cut, drop_made, scratch_mark
 
 #: Glyph runs that scanners confuse, longest first, each with the sign that stands for its group.
 CONFUSABLE = (("rn", "m"), ("nn", "m"), ("in", "m"), ("ni", "m"), ("li", "h"), ("cl", "d"), ("vv", "w"), ("ii", "u"), ("ll", "u"), ("0", "o"), ("1", "l"), ("i", "l"), ("!", "l"), ("|", "l"), ("5", "s"), ("$", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("q", "g"), ("e", "c"))
@@ -513,12 +513,14 @@ def readable_paragraphs(sections: DataFrame, limit: int = 500_000) -> DataFrame:
     over *chunks* of 2,000 consecutive blocks, so that one long document never is one sorted group; a paragraph across
     two chunks is joined by the chunk's carried-over first piece.
     """
+    spark, mark_before = sections.sparkSession, scratch_mark(sections.sparkSession)
     known = cut(frequent_words(cut(word_counts(sections), "word-counts")), "vocabulary")
     dropped = page_lines(scanned_rows(sections)).groupBy("block_id").agg(F.collect_set("line_no").alias("drop"))
     kept = scanned_blocks(sections).join(dropped, "block_id", "left").withColumn("lines", F.split("text", "\n"))
     kept = kept.withColumn("text", F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.expr("array_join(filter(lines, (x, i) -> not array_contains(drop, i)), '\n')"))).drop("lines", "drop")
     kept = cut(kept, "kept-lines")
     fixed = cut(word_traces(kept, sections, known, limit).select("block_id", "fixed"), "fixed-texts")
+    drop_made(spark, mark_before, (kept, fixed))  # nothing reads the tables before these any more
     flow = kept.join(fixed, "block_id", "left").withColumn("text", F.coalesce("fixed", "text"))
     plain = ~F.col("type").isin("code", "equation", "table")
     flow = flow.withColumn("text", F.when(plain, F.trim(F.regexp_replace("text", r"\s+", " "))).otherwise(F.col("text"))).where("trim(text) <> ''")
