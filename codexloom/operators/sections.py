@@ -24,26 +24,27 @@ def section_fold(blocks: DataFrame) -> DataFrame:
 
     A heading (a level and a text) sets the role and its place in the path: the path before is cut to level - 1 entries,
     whatever their levels were. Other text that starts with "abstract" opens an abstract. Blocks before any heading are
-    front matter of unknown role. Only the headings are folded, one array a document; blocks get the latest state.
+    front matter of unknown role. Only the headings are folded, by windows: a block meets the heading whose number is the
+    count of headings up to its place, so that a huge document takes time in proportion and its join is spread.
     """
     text = tx.strip(F.coalesce("text", F.lit("")))
     heading = (F.coalesce("heading_level", F.lit(0)) > 0) & (text != "")
     opening = ~heading & text.rlike(r"(?i)^abstract\b")
-    rows = blocks.withColumn("_t", text).withColumn("_h", heading).withColumn("_o", opening)
-    events = rows.where("_h or _o").groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("idx", F.when(F.col("_h"), F.greatest(F.col("heading_level") - 1, F.lit(0))).otherwise(0).alias("keep"), F.when(F.col("_h"), F.col("_t")).otherwise("Abstract").alias("name"), F.when(F.col("_h"), tx.heading_role("_t")).otherwise("abstract").alias("role"), F.col("_o").alias("alone")))).alias("events"))
-    start = F.struct(F.array().cast("array<string>").alias("path"), F.array().cast("array<struct<idx:int,role:string,path:array<string>>>").alias("out"))
-
-    def step(acc, e):  # noqa: ANN001, ANN202
-        path = F.when(e["alone"], F.array(e["name"])).otherwise(F.concat(F.slice(acc["path"], F.lit(1), e["keep"].cast("int")), F.array(e["name"])))
-        row = F.struct(e["idx"].cast("int").alias("idx"), e["role"].alias("role"), path.alias("path"))
-        return F.struct(path.alias("path"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    states = events.select("document_id", F.inline(F.aggregate("events", start, step, lambda acc: acc["out"]))).withColumnRenamed("idx", "_idx")
-    keyed = rows.join(states.withColumnRenamed("_idx", "idx"), ["document_id", "idx"], "left")
-    order = Window.partitionBy("document_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    latest = F.last(F.when(F.col("role").isNotNull(), F.struct("role", "path")), ignorenulls=True).over(order)
-    out = keyed.withColumn("_s", latest)
-    return out.withColumn("section_role", F.coalesce("_s.role", F.lit("unknown"))).withColumn("section_path", F.coalesce("_s.path", F.array(F.lit("Front matter")))).drop("_t", "_h", "_o", "_s", "role", "path")
+    rows = blocks.withColumn("_h", heading).withColumn("_o", opening)
+    level = F.when(F.col("_h"), F.col("heading_level").cast("long")).otherwise(F.lit(1)).alias("level")
+    name, role = F.when(F.col("_h"), text).otherwise("Abstract").alias("name"), F.when(F.col("_h"), tx.heading_role(text)).otherwise("abstract").alias("role")
+    # The depth is the least of the level and the depth before plus one, hence a running minimum but for the event's number.
+    order = Window.partitionBy("document_id").orderBy("idx", "level", "name", "role")
+    events = rows.where("_h or _o").select("document_id", "idx", level, name, role).withColumn("_n", F.row_number().over(order).cast("long"))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    events = events.withColumn("depth", F.col("_n") + F.least(F.lit(0), F.min(F.col("level") - F.col("_n")).over(upto)))
+    # Each entry of a path is the last event of its depth, as what lies between goes deeper.
+    places = events.select("document_id", "_n", "role", "depth", "name", F.explode(F.sequence(F.lit(1).cast("long"), "depth")).alias("place"))
+    entry = F.last(F.when(F.col("place") == F.col("depth"), F.col("name")), ignorenulls=True).over(Window.partitionBy("document_id", "place").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0))
+    paths = places.withColumn("entry", entry).groupBy("document_id", "_n", "role").agg(F.array_sort(F.collect_list(F.struct("place", "entry"))).alias("p")).select("document_id", "_n", "role", F.col("p.entry").alias("path"))
+    so_far = F.coalesce(F.sum((F.col("_h") | F.col("_o")).cast("long")).over(Window.partitionBy("document_id").orderBy("idx")), F.lit(0))
+    out = rows.withColumn("_n", so_far).join(paths.withColumnsRenamed({"role": "_role", "path": "_path"}), ["document_id", "_n"], "left")
+    return out.select(*[F.col(c) for c in blocks.columns if c not in ("section_role", "section_path")], F.coalesce("_role", F.lit("unknown")).alias("section_role"), F.coalesce("_path", F.array(F.lit("Front matter"))).alias("section_path"))
 
 
 def block_quality(blocks: DataFrame) -> DataFrame:

@@ -216,3 +216,9 @@ def test_match_candidates_of_few_and_of_many_files(spark):
     want = [("d1", "d2"), ("d2", "d3")]
     for few in (0, 60):
         assert sorted((r[0], r[1]) for r in works.match_candidates(df, all_pairs=few).collect()) == want
+
+
+def test_headings_of_one_place_do_not_multiply_blocks(spark):
+    data = [("d", 0, 3, "Deep"), ("d", 0, 3, "Twin"), ("d", 1, None, "text"), ("d", 2, 9, "Below"), ("d", 3, 2, "Up")]
+    got = sections.section_fold(spark.createDataFrame(data, "document_id string, idx int, heading_level int, text string")).collect()
+    assert sorted((r.idx, r.text, r.section_path) for r in got if r.idx) == [(1, "text", ["Deep", "Twin"]), (2, "Below", ["Deep", "Twin", "Below"]), (3, "Up", ["Deep", "Up"])] and len(got) == 5
