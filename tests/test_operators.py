@@ -222,3 +222,16 @@ def test_headings_of_one_place_do_not_multiply_blocks(spark):
     data = [("d", 0, 3, "Deep"), ("d", 0, 3, "Twin"), ("d", 1, None, "text"), ("d", 2, 9, "Below"), ("d", 3, 2, "Up")]
     got = sections.section_fold(spark.createDataFrame(data, "document_id string, idx int, heading_level int, text string")).collect()
     assert sorted((r.idx, r.text, r.section_path) for r in got if r.idx) == [(1, "text", ["Deep", "Twin"]), (2, "Below", ["Deep", "Twin", "Below"]), (3, "Up", ["Deep", "Up"])] and len(got) == 5
+
+
+def test_only_pairs_with_a_long_common_subsequence_leave_a_task(spark):
+    rng = random.Random(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz" * 3)
+    keys = []
+    for _ in range(40):
+        rng.shuffle(letters)
+        keys.append("".join(letters))
+    near = "x" + keys[0][1:-1]
+    df = spark.createDataFrame([(k,) for k in [*keys, near]], "a string")
+    for met in (works.alike_keys(df, None, 0.75, rows_per_cell=15), works.alike_keys(df, df.withColumnRenamed("a", "b"), 0.75, rows_per_cell=15).where("a < b")):
+        assert [(r.a, r.b) for r in met.collect()] == [tuple(sorted((keys[0], near)))]
