@@ -235,3 +235,10 @@ def test_only_pairs_with_a_long_common_subsequence_leave_a_task(spark):
     df = spark.createDataFrame([(k,) for k in [*keys, near]], "a string")
     for met in (works.alike_keys(df, None, 0.75, rows_per_cell=15), works.alike_keys(df, df.withColumnRenamed("a", "b"), 0.75, rows_per_cell=15).where("a < b")):
         assert [(r.a, r.b) for r in met.collect()] == [tuple(sorted((keys[0], near)))]
+
+
+def test_match_candidates_share_few_trigrams_too(spark):
+    base = "abcdefghijklmnopqrstuvwxyz0123"
+    df = spark.createDataFrame([("d1", "w1", base), ("d2", "w2", "_".join(base[i : i + 3] for i in range(0, 30, 3)).replace("_", "q")), ("d3", "w3", base[::-1])], "document_id string, work_id string, title_key string")
+    for few in (0, 60):
+        assert [(r[0], r[1]) for r in works.match_candidates(df, all_pairs=few).collect()] == [("d1", "d2")]
