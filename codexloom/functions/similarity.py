@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -206,3 +207,45 @@ def alike_in_blocks(threshold: float, once: bool) -> Callable:
                     yield pd.DataFrame({"a": x, "b": y})
 
     return run
+
+
+def grams(key: str) -> set[str]:
+    return {key[at : at + 3] for at in range(max(1, len(key) - 2))}
+
+
+def shared_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For :func:`meet_in_blocks` over blocks of keys: pairs (a, b), a < b, each once, that share at least half of the fewer
+    trigrams, with the counts ``shared`` and ``least``.
+
+    Trigrams are dealt to 512 bins. Those that two keys share lie in bins they share, but for the ones that fell on
+    another of the same key; so a product of matrices bounds them, and few pairs are counted in full."""
+    bins = 512
+
+    def binned(keys: list[set[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        out = np.zeros((len(keys), bins), dtype=np.float32)
+        for at, g in enumerate(keys):
+            out[at, [crc32(x.encode("utf-8", "surrogatepass")) % bins for x in g]] = 1
+        n = np.array([len(g) for g in keys], dtype=np.float32)
+        return out, n, n - out.sum(axis=1)
+
+    known: dict[str, tuple] = {}  # of the last blocks, by their first key
+    for batch in batches:
+        for left, right, same in zip(batch["left"], batch["right"], batch["same"]):
+            known = {k: known[k] for k in (left[0], right[0]) if k in known}
+            for keys in (left, right):
+                if keys[0] not in known:
+                    sets = [grams(k) for k in keys]
+                    known[keys[0]] = (sets, *binned(sets))
+            (gx, x, nx, ex), (gy, y, ny, ey) = known[left[0]], known[right[0]]
+            for at in range(0, len(left), 500):  # slices, so that no matrix is large
+                part = slice(at, min(at + 500, len(left)))
+                bound = x[part] @ y.T
+                bound += np.minimum(ex[part, None], ey[None, :])
+                may = bound >= np.maximum(1, np.floor(np.minimum(nx[part, None], ny[None, :]) / 2))
+                i, j = np.nonzero(np.triu(may, at + 1) if same else may)
+                i = i + at
+                shared = np.array([len(gx[p] & gy[q]) for p, q in zip(i.tolist(), j.tolist())], dtype=np.int64)
+                least = np.minimum(nx[i], ny[j]).astype(np.int64)
+                kept = shared >= np.maximum(1, least // 2)
+                a, b = np.asarray(left, dtype=object)[i[kept]], np.asarray(right, dtype=object)[j[kept]]
+                yield pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a), "shared": shared[kept], "least": least[kept]})

@@ -82,23 +82,18 @@ def match_candidates(files: DataFrame, threshold: float = 0.75, all_pairs: int =
     return met.select("left_document_id", "right_document_id", F.round("ratio", 4).alias("ratio"))
 
 
-def trigram_candidates(files: DataFrame) -> DataFrame:
+def trigram_candidates(files: DataFrame, rows_per_cell: int = 3_000) -> DataFrame:
     """Pairs of files that share at least half of the fewer trigrams of their title keys (at least one):
-    (left_document_id, right_document_id, shared, least), by an inverted index on trigrams."""
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("title_key") - 2)), lambda p: F.substr(F.col("title_key"), p, F.lit(3))))
-    keys = cut(files.where("title_key <> ''").select("title_key").distinct().withColumn("grams", grams).withColumn("n", F.size("grams")), "trigrams")
-    posted = keys.select("title_key", "n", F.explode("grams").alias("gram"))
-    # The set with fewer grams must share half of them: one of its rarest n - need + 1 is among the other's.
-    rarity = posted.groupBy("gram").agg(F.count("*").alias("df"))
-    need = F.greatest(F.lit(1), F.floor(F.col("n") / 2)).cast("int")
-    ordered = posted.join(rarity, "gram").groupBy("title_key", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("o"))
-    probe = ordered.select(F.col("title_key").alias("s"), F.col("n").alias("ns"), F.explode(F.slice(F.col("o.gram"), F.lit(1), F.col("n") - need + 1)).alias("gram"))
-    larger = (F.col("n") > F.col("ns")) | ((F.col("n") == F.col("ns")) & (F.col("title_key") > F.col("s")))
-    met = probe.join(posted, "gram").where(larger).select("s", F.col("title_key").alias("t")).distinct()
-    sets = lambda name, alias: keys.select(F.col("title_key").alias(name), F.col("grams").alias(alias))
-    counted = met.join(sets("s", "gs"), "s").join(sets("t", "gt"), "t").select("s", "t", F.size(F.array_intersect("gs", "gt")).cast("long").alias("shared"), F.size("gs").alias("least"))
-    shared = counted.where(F.col("shared") >= F.greatest(F.lit(1), F.floor(F.col("least") / 2))).select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"), "shared", "least")
-    same = keys.select(F.col("title_key").alias("a"), F.col("title_key").alias("b"), F.col("n").cast("long").alias("shared"), F.col("n").alias("least"))
+    (left_document_id, right_document_id, shared, least).
+
+    Distinct keys meet in blocks (:func:`similarity.shared_grams`); postings or pairs of keys are never shuffled, as half
+    of the trigrams of a title holds common ones, whose lists grow with the square of the keys."""
+    distinct = files.select("title_key").where("title_key <> ''").distinct()
+    blocks = cut(sim.blocks_of_keys(distinct, rows_per_cell), "title-keys")
+    shared = sim.meet_in_blocks(blocks, blocks, F.col("block") <= F.col("block_"), sim.shared_grams, "a string, b string, shared long, least long")
+    length = F.greatest(F.lit(1), F.length("title_key") - 2)
+    own = F.size(F.array_distinct(F.transform(F.sequence(F.lit(1), length), lambda p: F.substr(F.col("title_key"), p, F.lit(3))))).cast("long")
+    same = files.where("title_key <> ''").groupBy("title_key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("title_key").alias("a"), F.col("title_key").alias("b"), own.alias("shared"), own.alias("least"))
     pairs = shared.unionByName(same)
     left = files.select(F.col("title_key").alias("a"), F.col("document_id").alias("da"))
     right = files.select(F.col("title_key").alias("b"), F.col("document_id").alias("db"))

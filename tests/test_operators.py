@@ -242,3 +242,13 @@ def test_match_candidates_share_few_trigrams_too(spark):
     df = spark.createDataFrame([("d1", "w1", base), ("d2", "w2", "_".join(base[i : i + 3] for i in range(0, 30, 3)).replace("_", "q")), ("d3", "w3", base[::-1])], "document_id string, work_id string, title_key string")
     for few in (0, 60):
         assert [(r[0], r[1]) for r in works.match_candidates(df, all_pairs=few).collect()] == [("d1", "d2")]
+
+
+def test_trigram_candidates_in_several_blocks(spark):
+    rng = random.Random(6)
+    keys = ["".join(rng.choice("abcé") for _ in range(rng.randrange(1, 30))) for _ in range(70)]
+    files = [(f"d{i:02}", k) for i, k in enumerate([*keys, *keys[:5]])]
+    grams = lambda k: {k[i : i + 3] for i in range(max(1, len(k) - 2))}
+    every = [(a, b, len(grams(ka) & grams(kb)), min(len(grams(ka)), len(grams(kb)))) for i, (a, ka) in enumerate(files) for b, kb in files[i + 1 :]]
+    got = rows(works.trigram_candidates(spark.createDataFrame(files, "document_id string, title_key string"), rows_per_cell=8))
+    assert got == sorted(x for x in every if x[2] >= max(1, x[3] // 2))
