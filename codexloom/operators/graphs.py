@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,23 +71,104 @@ def feature_table(works: DataFrame, statements: DataFrame | None, features: Data
     return words.unionByName(flat.distinct().withColumn("weight", F.lit(1.0)))
 
 
-def related_pairs(features: DataFrame, threshold: float = RELATED_THRESHOLD) -> DataFrame:
+def _pack(kinds: dict[str, int]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Features (block, work_id, kind, id, weight) of a block of works as one row: ids that no other work has are null, and
+    count for the sizes only."""
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        works, at = np.unique(rows["work_id"].to_numpy(dtype=object), return_inverse=True)
+        kind, weight = rows["kind"].map(kinds).to_numpy(), rows["weight"].to_numpy(dtype=float)
+        sizes = np.zeros((2, len(kinds), len(works)))
+        np.add.at(sizes[0], (kind, at), weight)
+        np.add.at(sizes[1], (kind, at), weight * weight)
+        known = rows["id"].notna().to_numpy()
+        parts = [known & (kind == k) for k in range(len(kinds))]
+        lists = [(at[p].astype(np.int32), rows["id"].to_numpy()[p].astype(np.int64), weight[p]) for p in parts]
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "data": [pickle.dumps((works, sizes, lists))]})
+
+    return pack
+
+
+def _dots(left: tuple, right: tuple, n_left: int, n_right: int, kind: type, width: int = 2_048) -> np.ndarray:
+    """Sums of products of the weights of common items, of every work of one block and every one of the other."""
+    out = np.zeros((n_left, n_right), dtype=kind)
+    common = np.intersect1d(left[1], right[1])
+    for start in range(0, len(common), width):
+        ids = common[start : start + width]
+        sides = []
+        for (at, item, weight), n in ((left, n_left), (right, n_right)):
+            column = np.minimum(np.searchsorted(ids, item), len(ids) - 1)
+            there = ids[column] == item
+            x = np.zeros((n, len(ids)), dtype=kind)
+            np.add.at(x, (at[there], column[there]), weight[there].astype(kind))
+            sides.append(x)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _related_in_blocks(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Pairs of works of two blocks that pass the rule. The dots are exact in float32 if weights are whole and sizes small;
+    pairs near the limits are scored in float64, in the order of the SQL."""
+    names = list(WEIGHTS)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for left, right, same in zip(batch["left"], batch["right"], batch["same"]):
+                (wx, sx, lx), (wy, sy, ly) = pickle.loads(left), pickle.loads(right)
+                whole = all((part[2] == np.floor(part[2])).all() for part in (*lx, *ly)) and max(sx[1].max(), sy[1].max()) < 2**24
+                size = 1_000  # slices, so that no matrix is large
+                for start in range(0, len(wx), size):
+                    n = min(size, len(wx) - start)
+                    dots = []
+                    for k in range(len(names)):
+                        inside = (lx[k][0] >= start) & (lx[k][0] < start + n)
+                        dots.append(_dots((lx[k][0][inside] - start, *(x[inside] for x in lx[k][1:])), ly[k], n, len(wy), np.float32 if whole else np.float64))
+
+                    def values(k, i, j, dot):  # noqa: ANN001, ANN202
+                        if names[k] == "text":
+                            under = np.sqrt(sx[1][k][i] * sy[1][k][j])  # noqa: B023
+                        else:
+                            under = sx[0][k][i] + sy[0][k][j] - dot  # noqa: B023
+                        return np.divide(dot, under, out=np.zeros(dot.shape), where=dot != 0)
+
+                    rows = np.arange(start, start + n)
+                    rough = np.zeros((n, len(wy)), dtype=np.float32)
+                    for k, name in enumerate(names):
+                        if name == "text":
+                            x, y = (np.float32(1) / np.sqrt(np.maximum(s, 1e-30)).astype(np.float32) for s in (sx[1][k][rows], sy[1][k]))
+                            rough += dots[k].astype(np.float32) * (np.float32(WEIGHTS[name]) * x)[:, None] * y[None, :]
+                        else:
+                            under = sx[0][k][rows].astype(np.float32)[:, None] + sy[0][k].astype(np.float32)[None, :] - dots[k]
+                            rough += np.float32(WEIGHTS[name]) * dots[k].astype(np.float32) / np.maximum(under, np.float32(1e-30))
+                    may = rough >= threshold - 1e-4
+                    i, j = np.nonzero(np.triu(may, start + 1) if same else may)
+                    v = [values(k, i + start, j, dots[k][i, j].astype(float)) for k in range(len(names))]
+                    score = sum((WEIGHTS[name] * v[k] for k, name in enumerate(names)), np.zeros(len(i)))
+                    active = sum(x > 0 for x in v)
+                    kept = (score >= threshold) & ((active >= 2) | (v[names.index("text")] >= TEXT_ALONE) | (v[names.index("reference")] >= COUPLING_ALONE))
+                    a, b = wx[i[kept] + start], wy[j[kept]]
+                    yield pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a)} | {name: v[k][kept] for k, name in enumerate(names)} | {"score": score[kept]})
+
+    return run
+
+
+def related_pairs(features: DataFrame, threshold: float = RELATED_THRESHOLD, works_per_block: int = 2_000) -> DataFrame:
     """Pairs of works that pass the related-work rule: the four similarities and the score.
 
-    Works that share nothing score 0, so one sparse self-join on (kind, item) finds every pair. Items that all but few
-    works share still count: a common item's list is long, and its partners are spread by AQE's skew join.
+    Common items make most pairs of works share something, so all pairs are scored: blocks of works meet, as products of
+    matrices of the items that both blocks have, and only pairs that pass leave a task. Items get numbers if several works
+    have them; the others count for the sizes only. The work grows with the square of the works, what is shuffled with the
+    works times the number of blocks.
     """
-    sizes = features.groupBy("work_id", "kind").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("weight")).alias("sq"))
-    l, r = features.alias("l"), features.alias("r")
-    met = l.join(r, (F.col("l.kind") == F.col("r.kind")) & (F.col("l.item") == F.col("r.item")) & (F.col("l.work_id") < F.col("r.work_id")))
-    dots = met.groupBy(F.col("l.work_id").alias("a"), F.col("r.work_id").alias("b"), F.col("l.kind").alias("kind")).agg(F.sum(F.col("l.weight") * F.col("r.weight")).alias("dot"))
-    dots = dots.join(sizes.select(F.col("work_id").alias("a"), "kind", F.col("n").alias("na"), F.col("sq").alias("sa")), ["a", "kind"]).join(sizes.select(F.col("work_id").alias("b"), "kind", F.col("n").alias("nb"), F.col("sq").alias("sb")), ["b", "kind"])
-    value = F.when(F.col("kind") == "text", F.col("dot") / F.sqrt(F.col("sa") * F.col("sb"))).otherwise(F.col("dot") / (F.col("na") + F.col("nb") - F.col("dot")))
-    wide = dots.withColumn("v", value).groupBy("a", "b").agg(*[F.coalesce(F.max(F.when(F.col("kind") == k, F.col("v"))), F.lit(0.0)).alias(k) for k in WEIGHTS])
-    score = sum((F.lit(w) * F.col(k) for k, w in WEIGHTS.items()), F.lit(0.0))
-    active = sum(((F.col(k) > 0).cast("int") for k in WEIGHTS), F.lit(0))
-    kept = wide.withColumn("score", F.round(score, 4)).where((score >= threshold) & ((active >= 2) | (F.col("text") >= TEXT_ALONE) | (F.col("reference") >= COUPLING_ALONE)))
-    return kept.select(F.col("a").alias("left_work_id"), F.col("b").alias("right_work_id"), *[F.round(k, 4).alias(k) for k in WEIGHTS], "score")
+    rows = features.where("work_id is not null and item is not null").where(F.col("kind").isin(*WEIGHTS))
+    items = cut(rows.groupBy("kind", "item").agg(F.count("*").alias("n")).where("n > 1").select("kind", "item", F.monotonically_increasing_id().alias("id")), "items")
+    n_works = rows.select(F.count_distinct("work_id")).first()[0]
+    block = F.pmod(F.xxhash64("work_id"), F.lit(max(1, -(-n_works // works_per_block))))
+    numbered = rows.join(items, ["kind", "item"], "left").select(block.alias("block"), "work_id", "kind", "id", "weight")
+    packed = cut(numbered.groupBy("block").applyInPandas(_pack({k: n for n, k in enumerate(WEIGHTS)}), "block long, data binary"), "blocks")
+    schema = f"a string, b string, {', '.join(f'{k} double' for k in WEIGHTS)}, score double"
+    kept = sim.meet_in_blocks(packed, packed, F.col("block") <= F.col("block_"), _related_in_blocks(threshold), schema)
+    return kept.select(F.col("a").alias("left_work_id"), F.col("b").alias("right_work_id"), *[F.round(k, 4).alias(k) for k in WEIGHTS], F.round("score", 4).alias("score"))
 
 
 def related_top(pairs: DataFrame, per_work: int = RELATED_PER_WORK) -> DataFrame:

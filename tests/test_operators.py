@@ -252,3 +252,27 @@ def test_trigram_candidates_in_several_blocks(spark):
     every = [(a, b, len(grams(ka) & grams(kb)), min(len(grams(ka)), len(grams(kb)))) for i, (a, ka) in enumerate(files) for b, kb in files[i + 1 :]]
     got = rows(works.trigram_candidates(spark.createDataFrame(files, "document_id string, title_key string"), rows_per_cell=8))
     assert got == sorted(x for x in every if x[2] >= max(1, x[3] // 2))
+
+
+def test_related_pairs_in_several_blocks_equal_brute_force(spark):
+    rng = random.Random(7)
+    items = {"facet": 6, "dataset": 9, "text": 30, "reference": 12}
+    own = {f"w{i:02}": {k: {f"{k}{rng.randrange(n)}": float(rng.randrange(1, 4)) if k == "text" else 1.0 for _ in range(rng.randrange(5))} for k, n in items.items()} for i in range(60)}
+    data = [(w, k, item, weight) for w, kinds in own.items() for k, found in kinds.items() for item, weight in found.items()] + [("w00", "text", "alone", 2.0), (None, "text", "text1", 1.0)]
+    own["w00"]["text"]["alone"] = 2.0
+    want = {}
+    for a in own:
+        for b in own:
+            if a < b:
+                v = {}
+                for k in items:
+                    x, y = own[a][k], own[b][k]
+                    dot = sum(x[t] * y[t] for t in x.keys() & y.keys())
+                    under = (sum(t * t for t in x.values()) * sum(t * t for t in y.values())) ** 0.5 if k == "text" else len(x) + len(y) - dot
+                    v[k] = dot / under if dot else 0.0
+                score = sum(graphs.WEIGHTS[k] * v[k] for k in items)
+                if score >= 0.16 and (sum(t > 0 for t in v.values()) >= 2 or v["text"] >= 0.55 or v["reference"] >= 0.2):
+                    want[a, b] = [*v.values(), score]
+    got = {(r[0], r[1]): list(r[2:]) for r in graphs.related_pairs(spark.createDataFrame(data, "work_id string, kind string, item string, weight double"), works_per_block=7).collect()}
+    assert got.keys() == want.keys() and len(got) > 50
+    assert all(abs(x - y) <= 5.1e-5 for p in got for x, y in zip(got[p], want[p]))
