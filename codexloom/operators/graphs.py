@@ -36,8 +36,8 @@ def citation_edges(refs: DataFrame, works: DataFrame, ratio: float = CITATION_RA
     by_doi = keyed.join(target.where("tdoi is not null"), F.col("doi") == F.col("tdoi"))
     by_arxiv = keyed.join(target.where("tarxiv is not null"), F.col("arxiv") == F.col("tarxiv"))
     cols = ("source_work_id", "ref_index", "work_id")
-    verified = by_doi.select(*cols).unionByName(by_arxiv.select(*cols)).where("source_work_id <> work_id").distinct().withColumn("score", F.lit(2.0))
-    rest = keyed.join(verified.select("source_work_id", "ref_index").distinct(), ["source_work_id", "ref_index"], "left_anti").where(F.length("key") >= SHORT_KEY)
+    verified = cut(by_doi.select(*cols).unionByName(by_arxiv.select(*cols)).where("source_work_id <> work_id").groupBy("source_work_id", "ref_index").agg(F.min("work_id").alias("work_id")).withColumn("score", F.lit(2.0)), "verified")
+    rest = cut(keyed.join(verified, ["source_work_id", "ref_index"], "left_anti").where(F.length("key") >= SHORT_KEY).select("source_work_id", "ref_index", "key", "raw_key"), "references-left")
     titled = target.where("tkey <> ''").select("work_id", "tkey")
     # References to one title are one key, and titles of several works one; pairs of keys are compared once.
     met = alike_keys(rest.select(F.col("key").alias("a")).distinct(), titled.select(F.col("tkey").alias("b")).distinct(), ratio, rows_per_cell)
@@ -45,11 +45,13 @@ def citation_edges(refs: DataFrame, works: DataFrame, ratio: float = CITATION_RA
     alike = rest.join(scored.withColumnRenamed("a", "key"), "key").join(titled.withColumnRenamed("tkey", "b"), "b").where("source_work_id <> work_id").select(*cols, "score")
     long_titles = titled.where(F.length("tkey") >= CONTAINED_LENGTH).withColumn("head", F.left("tkey", F.lit(CONTAINED_LENGTH)))
     windows = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("raw_key") - CONTAINED_LENGTH + 1)), lambda p: F.substr(F.col("raw_key"), p, F.lit(CONTAINED_LENGTH))))
-    inside = rest.select("source_work_id", "ref_index", "key", "raw_key", F.explode(windows).alias("head")).join(long_titles, "head").where("source_work_id <> work_id").where(F.col("raw_key").contains(F.col("tkey")))
-    contained = inside.select(*cols, "key", "tkey").distinct().withColumn("score", sim.sequence_ratio("key", "tkey")).select(*cols, "score")
+    # Lines of one key are one line here, too.
+    lines = rest.select("key", "raw_key").distinct()
+    inside = lines.select("key", "raw_key", F.explode(windows).alias("head")).join(long_titles.select("head", "tkey").distinct(), "head").where(F.col("raw_key").contains(F.col("tkey"))).select("key", "raw_key", "tkey").distinct()
+    held = cut(inside.withColumn("score", sim.sequence_ratio("key", "tkey")), "contained-titles")
+    contained = rest.join(held, ["key", "raw_key"]).join(titled, "tkey").where("source_work_id <> work_id").select(*cols, "score")
     every = verified.unionByName(alike).unionByName(contained)
-    best = every.groupBy("source_work_id", "ref_index").agg(F.max_by(F.struct("work_id", "score"), F.struct(F.col("score"), F.lit(0))).alias("any"), F.max("score").alias("score"))
-    chosen = every.join(best.select("source_work_id", "ref_index", "score"), ["source_work_id", "ref_index", "score"]).groupBy("source_work_id", "ref_index", "score").agg(F.min("work_id").alias("target_work_id"))
+    chosen = every.groupBy("source_work_id", "ref_index").agg(F.max("score").alias("score"), F.min_by("work_id", F.struct(-F.col("score"), F.col("work_id"))).alias("target_work_id"))
     status = F.when(F.col("score") >= 2.0, "verified").otherwise("candidate")
     return chosen.select("source_work_id", "ref_index", "target_work_id", status.alias("status"), F.round(F.when(F.col("score") >= 2.0, 1.0).otherwise(F.col("score")), 4).alias("confidence"))
 

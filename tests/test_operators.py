@@ -276,3 +276,19 @@ def test_related_pairs_in_several_blocks_equal_brute_force(spark):
     got = {(r[0], r[1]): list(r[2:]) for r in graphs.related_pairs(spark.createDataFrame(data, "work_id string, kind string, item string, weight double"), works_per_block=7).collect()}
     assert got.keys() == want.keys() and len(got) > 50
     assert all(abs(x - y) <= 5.1e-5 for p in got for x, y in zip(got[p], want[p]))
+
+
+def test_equal_reference_lines_are_compared_once(spark, monkeypatch):
+    seen = {}
+
+    def counted(df, label="table"):
+        out = cut(df, label)
+        seen[label] = out.count()
+        return out
+
+    cut = graphs.cut
+    monkeypatch.setattr(graphs, "cut", counted)
+    ws = spark.createDataFrame([("w1", "Deep flow estimation in rivers", None, None)], "work_id string, title string, doi string, arxiv_id string")
+    refs = spark.createDataFrame([(f"x{i}", 1, "Lee, A., Deep flow estimation in rivers, J 2", None, None, None) for i in range(50)], "work_id string, ref_index int, raw string, title string, doi string, arxiv_id string")
+    assert graphs.citation_edges(refs, ws).where("target_work_id = 'w1' and status = 'candidate'").count() == 50
+    assert seen["contained-titles"] == 1
