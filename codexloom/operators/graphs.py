@@ -181,17 +181,28 @@ def related_top(pairs: DataFrame, per_work: int = RELATED_PER_WORK) -> DataFrame
     return top.groupBy("left_work_id", "right_work_id").agg(F.max("score").alias("score"))
 
 
+def _named(datasets: DataFrame) -> DataFrame:
+    return datasets.where(tx.strip("name") != "").select("work_id", tx.strip("name").alias("name"), F.concat(F.lit("dataset:"), tx.title_key("name")).alias("id"))
+
+
+def _tagged(labels: DataFrame) -> DataFrame:
+    return labels.where("label_id is not null").select("work_id", "facet", tx.display_name("label_id").alias("name"), F.concat(F.lit("facet:"), F.col("label_id")).alias("id"))
+
+
+def graph_nodes(works: DataFrame, datasets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, label, type, facet) of papers, datasets and taxonomy labels; the first label wins."""
+    papers = works.select(F.col("work_id").alias("id"), "title", F.lit("paper").alias("type"), F.lit(None).cast("string").alias("facet"), F.lit("").alias("ord"))
+    ds_nodes = _named(datasets).select("id", F.col("name").alias("title"), F.lit("dataset").alias("type"), F.lit(None).cast("string").alias("facet"), F.concat_ws("\0", "work_id", "name").alias("ord"))
+    tax_nodes = _tagged(labels).select("id", F.col("name").alias("title"), F.lit("taxonomy").alias("type"), "facet", F.concat_ws("\0", "work_id", "facet").alias("ord"))
+    return papers.unionByName(ds_nodes).unionByName(tax_nodes).groupBy("id").agg(F.min_by(F.struct(F.col("title").alias("label"), "type", "facet"), "ord").alias("n")).select("id", "n.*")
+
+
 def knowledge_graph(works: DataFrame, datasets: DataFrame, labels: DataFrame, citations: DataFrame, related: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of papers, datasets and taxonomy labels.
 
-    nodes: id, label, type, facet (the first label wins); edges: source, target, type, status, weight (the last wins).
+    nodes: :func:`graph_nodes`; edges: source, target, type, status, weight (the last wins).
     """
-    papers = works.select(F.col("work_id").alias("id"), "title", F.lit("paper").alias("type"), F.lit(None).cast("string").alias("facet"), F.lit("").alias("ord"))
-    named = datasets.where(tx.strip("name") != "").select("work_id", tx.strip("name").alias("name"), F.concat(F.lit("dataset:"), tx.title_key("name")).alias("id"))
-    ds_nodes = named.select("id", F.col("name").alias("title"), F.lit("dataset").alias("type"), F.lit(None).cast("string").alias("facet"), F.concat_ws("\0", "work_id", "name").alias("ord"))
-    tagged = labels.where("label_id is not null").select("work_id", "facet", tx.display_name("label_id").alias("name"), F.concat(F.lit("facet:"), F.col("label_id")).alias("id"))
-    tax_nodes = tagged.select("id", F.col("name").alias("title"), F.lit("taxonomy").alias("type"), "facet", F.concat_ws("\0", "work_id", "facet").alias("ord"))
-    nodes = papers.unionByName(ds_nodes).unionByName(tax_nodes).groupBy("id").agg(F.min_by(F.struct(F.col("title").alias("label"), "type", "facet"), "ord").alias("n")).select("id", "n.*")
+    nodes, named, tagged = graph_nodes(works, datasets, labels), _named(datasets), _tagged(labels)
     edge = lambda df, s, t, kind, status, weight: df.select(F.col(s).alias("source"), F.col(t).alias("target"), F.lit(kind).alias("type"), status.alias("status"), weight.alias("weight"))
     none, one = F.lit(None).cast("string"), F.lit(1.0)
     every = (

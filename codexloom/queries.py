@@ -379,17 +379,22 @@ def verified_citations(spark: SparkSession, sf: str) -> DataFrame:
     return graphs.citation_counts(graphs.citation_edges(_references(spark, sf), table(spark, sf, "works")))
 
 
-def _graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    w = table(spark, sf, "works")
+def _node_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Works, and the datasets and labels of works; labels are read twice, by nodes and edges."""
     data = table(spark, sf, "experiments").where("kind = 'dataset' and name is not null and work_id is not null").select("work_id", "name")
     labels = mentions.taxonomy_labels(_work_blocks(spark, sf), _aliases(spark, sf))
+    return table(spark, sf, "works"), data, cut(labels.select("work_id", "facet", "label_id"), "labels")
+
+
+def _graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    w, data, labels = _node_sources(spark, sf)
     related = graphs.related_top(cut(graphs.related_pairs(cut(_features(spark, sf), "features")), "related"))
     return graphs.knowledge_graph(w, data, labels, graphs.citation_edges(_references(spark, sf), w), related)
 
 
 @query
 def knowledge_graph_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return _graph(spark, sf)[0].groupBy("type").agg(F.count("*").alias("n"))
+    return graphs.graph_nodes(*_node_sources(spark, sf)).groupBy("type").agg(F.count("*").alias("n"))
 
 
 @query

@@ -292,3 +292,14 @@ def test_equal_reference_lines_are_compared_once(spark, monkeypatch):
     refs = spark.createDataFrame([(f"x{i}", 1, "Lee, A., Deep flow estimation in rivers, J 2", None, None, None) for i in range(50)], "work_id string, ref_index int, raw string, title string, doi string, arxiv_id string")
     assert graphs.citation_edges(refs, ws).where("target_work_id = 'w1' and status = 'candidate'").count() == 50
     assert seen["contained-titles"] == 1
+
+
+def test_nodes_need_no_related_works_and_no_citations(spark, tiny, monkeypatch):
+    from codexloom import queries
+
+    def never(*_, **__):
+        raise AssertionError("nodes need no edges")
+
+    monkeypatch.setattr(graphs, "related_pairs", never)
+    monkeypatch.setattr(graphs, "citation_edges", never)
+    assert queries.queries()["knowledge_graph_nodes"](spark, tiny).count() == 3
