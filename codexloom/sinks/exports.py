@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import cut
+
 CSV_COLUMNS = ("work_id", "title", "authors", "year", "doi", "arxiv_id", "document_ids", "merge_status")
 
 
@@ -46,16 +48,33 @@ def _xml(col: Column | str) -> Column:
     return out
 
 
+GRAPHML_OPEN = """<?xml version="1.0" encoding="utf-8"?>
+<graphml xmlns="http://graphml.graphdrawing.org/xmlns"><key id="label" for="node" attr.name="label" attr.type="string"/><key id="type" for="all" attr.name="type" attr.type="string"/><key id="weight" for="edge" attr.name="weight" attr.type="double"/><graph edgedefault="directed">"""
+
+
+def numbered_edges(edges: DataFrame, buckets: int = 1_024) -> DataFrame:
+    """``edges`` with ``number``, from 0 on without gaps: they are counted and ordered by source, target and type within
+    buckets of a hash of these and then shifted by the buckets before, so that no single task sorts all edges."""
+    ends = ("source", "target", "type")
+    rows = cut(edges.withColumn("_bucket", F.pmod(F.xxhash64(*ends), F.lit(buckets))), "edges")
+    counts = rows.groupBy("_bucket").agg(F.count("*").alias("_m"))
+    before = counts.select("_bucket", (F.sum("_m").over(Window.orderBy("_bucket")) - F.col("_m")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*ends))
+    return rows.withColumn("_inside", inside).join(F.broadcast(before), "_bucket").withColumn("number", F.col("_before") + F.col("_inside") - 1).drop("_bucket", "_inside", "_before")
+
+
 def graphml_rows(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(part, ord, xml): the nodes and edges of a GraphML file; related edges are undirected, weights default to 1.
+    """(part, ord, xml): the lines of a GraphML file, whose parts are in descending order (opening, node, edge, close).
 
-    Edges are numbered by their ends and type: within hash partitions and then shifted, so that no single task sorts
-    all edges.
+    A node without a label is called by its id; related edges are undirected, weights default to 1. Edges are numbered
+    from 0 on (:func:`numbered_edges`).
     """
-    node = F.concat(F.lit('<node id="'), _xml("id"), F.lit('"><data key="label">'), _xml("label"), F.lit('</data><data key="type">'), _xml("type"), F.lit("</data></node>"))
-    named = edges.withColumn("edge_id", F.concat(F.lit("e"), F.left(F.sha2(F.concat_ws("\0", "source", "target", "type"), 256), F.lit(12))))
-    edge = F.concat(F.lit('<edge id="'), F.col("edge_id"), F.lit('" source="'), _xml("source"), F.lit('" target="'), _xml("target"), F.lit('"'), F.when(F.col("type") == "related", ' directed="false"').otherwise(""), F.lit('><data key="type">'), _xml("type"), F.lit('</data><data key="weight">'), F.coalesce("weight", F.lit(1.0)).cast("string"), F.lit("</data></edge>"))
-    return nodes.select(F.lit("node").alias("part"), F.col("id").alias("ord"), node.alias("xml")).unionByName(named.select(F.lit("edge").alias("part"), F.col("edge_id").alias("ord"), edge.alias("xml")))
+    node = F.concat(F.lit('<node id="'), _xml("id"), F.lit('"><data key="label">'), _xml(F.coalesce("label", "id")), F.lit('</data><data key="type">'), _xml(F.coalesce("type", F.lit("unknown"))), F.lit("</data></node>"))
+    edge_id, kind = F.concat(F.lit("e"), F.col("number").cast("string")), F.coalesce("type", F.lit("related"))
+    edge = F.concat(F.lit('<edge id="'), edge_id, F.lit('" source="'), _xml("source"), F.lit('" target="'), _xml("target"), F.lit('"'), F.when(F.col("type") == "related", ' directed="false"').otherwise(""), F.lit('><data key="type">'), _xml(kind), F.lit('</data><data key="weight">'), F.coalesce("weight", F.lit(1.0)).cast("string"), F.lit("</data></edge>"))
+    lines = nodes.select(F.lit("node").alias("part"), F.col("id").alias("ord"), node.alias("xml")).unionByName(numbered_edges(edges).select(F.lit("edge").alias("part"), edge_id.alias("ord"), edge.alias("xml")))
+    frame = nodes.sparkSession.createDataFrame([("opening", "", GRAPHML_OPEN), ("close", "", "</graph></graphml>")], "part string, ord string, xml string")
+    return lines.unionByName(frame)
 
 
 def markdown_blocks(blocks: DataFrame) -> DataFrame:

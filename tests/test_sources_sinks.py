@@ -157,3 +157,16 @@ def test_scratch_tables_are_deleted(spark):
     path = storage.cut(spark.range(3).toDF("x"), "probe").inputFiles()[0].removeprefix("file://")
     assert os.path.exists(path) and storage.clear_scratch(spark) >= 1
     assert not os.path.exists(path) and storage.clear_scratch(spark) == 0
+
+
+def test_graphml_is_a_document_with_numbered_edges(spark):
+    from xml.etree import ElementTree
+
+    nodes = spark.createDataFrame([("a", 'x<"', "paper", None), ("b", None, None, None)], "id string, label string, type string, facet string")
+    edges = spark.createDataFrame([("a", f"b{i}", "related", None, 0.5) for i in range(40)], "source string, target string, type string, status string, weight double")
+    lines = exports.graphml_rows(nodes, edges).orderBy(F.desc("part"), "ord").collect()
+    root = ElementTree.fromstring("\n".join(r.xml for r in lines).encode())
+    space = "{http://graphml.graphdrawing.org/xmlns}"
+    assert [k.get("id") for k in root.iter(f"{space}key")] == ["label", "type", "weight"]
+    assert {n.get("id"): [d.text for d in n] for n in root.iter(f"{space}node")} == {"a": ['x<"', "paper"], "b": ["b", "unknown"]}
+    assert sorted(int(e.get("id")[1:]) for e in root.iter(f"{space}edge")) == list(range(40))
