@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import entities as en
 from ..functions import text as tx
+from ..storage import cut
 
 
 def _blank(col: str) -> F.Column:
@@ -30,16 +31,22 @@ def first_mentions(mentions: DataFrame) -> DataFrame:
     return firsts.where("f.name is not null").select("document_id", "key", "f.name", "f.block_id", "f.idx")
 
 
+def _standing(blocks: DataFrame, terms: DataFrame, *kept: str, few: bool = False) -> DataFrame:
+    """The columns ``kept`` of a block, and each term that stands in its text as whole tokens. ``few``: the terms can be
+    broadcast, so that the tokens of the blocks are not shuffled."""
+    head = F.get(F.regexp_extract_all(F.lower("term"), F.lit("[a-z0-9]+"), F.lit(0)), F.lit(0))
+    heads = terms.select("term").distinct().withColumn("tok", head).where("tok is not null")
+    parts = blocks.select(*kept, "text", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)))).alias("tok"))
+    return parts.join(F.broadcast(heads) if few else heads, "tok").where(tx.term_present("text", "term")).select(*kept, "term")
+
+
 def vocabulary_mentions(blocks: DataFrame, terms: DataFrame) -> DataFrame:
     """Every (block, term) in which a term stands as whole tokens: blocks (document_id, idx, block_id, text), terms (term).
 
     Blocks and terms meet on the first token of the term, an equal join on an exploded token list, so that the pattern
     runs only where the term can stand; a term without letters or digits is compared with nothing.
     """
-    head = F.get(F.regexp_extract_all(F.lower("term"), F.lit("[a-z0-9]+"), F.lit(0)), F.lit(0))
-    heads = terms.select("term").distinct().withColumn("tok", head).where("tok is not null")
-    parts = blocks.select("document_id", "idx", "block_id", "text", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)))).alias("tok"))
-    return parts.join(heads, "tok").where(tx.term_present("text", "term")).select("document_id", "idx", "block_id", "term")
+    return _standing(blocks, terms, "document_id", "idx", "block_id")
 
 
 def dataset_mentions(blocks: DataFrame, configured: DataFrame | None = None, words: en.Words = en.Words()) -> DataFrame:
@@ -110,6 +117,18 @@ def taxonomy_labels(blocks: DataFrame, aliases: DataFrame, evidence: int = 3) ->
     return total.join(first, ["work_id", "facet", "label_id"]).select("work_id", "facet", "label_id", tx.display_name("label_id").alias("name"), "n_blocks", "evidence")
 
 
+def work_labels(blocks: DataFrame, owner: DataFrame, aliases: DataFrame, limit: int = 100_000) -> DataFrame:
+    """(work_id, facet, label_id) of :func:`taxonomy_labels` alone: no block is counted or named, so that repeated blocks need
+    not be found. ``blocks``: document_id, text; ``owner``: work_id, document_id. Up to ``limit`` aliases (counted) are
+    broadcast, so that no text is shuffled; more meet the blocks' tokens in a shuffle, with the same result.
+    """
+    aliases = cut(aliases.select("facet", "label_id", F.col("alias").alias("term")).distinct(), "aliases")
+    few = aliases.count() <= limit
+    hits = _standing(blocks, aliases, "document_id", few=few)
+    labelled = hits.join(F.broadcast(aliases) if few else aliases, "term").select("document_id", "facet", "label_id").distinct()
+    return labelled.join(owner, "document_id").select("work_id", "facet", "label_id").distinct()
+
+
 def collections(labels: DataFrame, works: DataFrame) -> DataFrame:
     """(facet, label_id, n_works, titles): the works of each label, by title."""
     joined = labels.select("work_id", "facet", "label_id").distinct().join(works.select("work_id", "title"), "work_id")

@@ -38,9 +38,12 @@ def _blocks(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "sections").select("block_id", "document_id", F.col("source.source_index").alias("idx"), "type", "heading_level", "page_index", "section_path", "section_role", "text", "asset_path").dropDuplicates(["block_id"])
 
 
+def _owner(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "works").select("work_id", F.explode("document_ids").alias("document_id"))
+
+
 def _work_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    owner = table(spark, sf, "works").select("work_id", F.explode("document_ids").alias("document_id"))
-    return _blocks(spark, sf).join(owner, "document_id")
+    return _blocks(spark, sf).join(_owner(spark, sf), "document_id")
 
 
 def _search_blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,7 +358,7 @@ def related_works(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def related_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return graphs.related_top(cut(graphs.related_pairs(cut(_features(spark, sf), "features")), "related"))
+    return graphs.related_best(cut(_features(spark, sf), "features"))
 
 
 def _references(spark: SparkSession, sf: str) -> DataFrame:
@@ -382,13 +385,13 @@ def verified_citations(spark: SparkSession, sf: str) -> DataFrame:
 def _node_sources(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Works, and the datasets and labels of works; labels are read twice, by nodes and edges."""
     data = table(spark, sf, "experiments").where("kind = 'dataset' and name is not null and work_id is not null").select("work_id", "name")
-    labels = mentions.taxonomy_labels(_work_blocks(spark, sf), _aliases(spark, sf))
-    return table(spark, sf, "works"), data, cut(labels.select("work_id", "facet", "label_id"), "labels")
+    labels = mentions.work_labels(table(spark, sf, "sections").select("document_id", "text"), _owner(spark, sf), _aliases(spark, sf))
+    return table(spark, sf, "works"), data, cut(labels, "labels")
 
 
 def _graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     w, data, labels = _node_sources(spark, sf)
-    related = graphs.related_top(cut(graphs.related_pairs(cut(_features(spark, sf), "features")), "related"))
+    related = cut(graphs.related_best(cut(_features(spark, sf), "features")), "related")
     return graphs.knowledge_graph(w, data, labels, graphs.citation_edges(_references(spark, sf), w), related)
 
 

@@ -1,6 +1,7 @@
 import random
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,6 +279,56 @@ def test_related_pairs_in_several_blocks_equal_brute_force(spark):
     assert all(abs(x - y) <= 5.1e-5 for p in got for x, y in zip(got[p], want[p]))
 
 
+def test_best_related_pairs_equal_those_of_all_pairs(spark):
+    rng = random.Random(11)
+    kinds = {"facet": 3, "dataset": 4, "text": 9, "reference": 5}  # few items, so that many scores are equal or near
+    data = [(f"w{i:02}", k, f"{k}{rng.randrange(n)}", 1.0) for i in range(70) for k, n in kinds.items() for _ in range(3)]
+    features = spark.createDataFrame(sorted(set(data)), "work_id string, kind string, item string, weight double").cache()
+    for weight in (1.0, 1.25):  # whole weights are summed in float32
+        rows_in = features.withColumn("weight", F.col("weight") * weight)
+        want = rows(graphs.related_top(graphs.related_pairs(rows_in), 2))
+        got = graphs.related_best(rows_in, 2, works_per_block=20, works_per_part=6)
+        assert rows(got) == want and 70 < len(want) < 140
+        assert rows(graphs.related_best(rows_in, 2, works_per_block=20, most_blocks=1)) == want
+
+
+def test_pruning_of_related_ends_keeps_what_is_equal_after_rounding():
+    rng = np.random.default_rng(5)
+    own, score = rng.integers(0, 40, 3_000), np.round(0.16 + 0.01 * rng.random(3_000), 5)
+    kept = set(graphs._may_be_best(own, score, 5).tolist())
+    for w in range(40):
+        here = np.flatnonzero(own == w)
+        limit = np.sort(np.round(score[here], 4))[-5]
+        assert {k for k in here.tolist() if round(score[k], 4) >= limit} <= kept
+    assert len(kept) < 1_000
+
+
+def test_graph_stores_no_related_pairs_and_names_no_blocks(spark, tiny, monkeypatch):
+    from codexloom import queries
+
+    def never(*_, **__):
+        raise AssertionError("the graph needs the best pairs and the labels alone")
+
+    want = {r.measure: r.n for r in queries.queries()["graph_summary"](spark, tiny).collect()}
+    monkeypatch.setattr(graphs, "related_pairs", never)
+    monkeypatch.setattr(mentions, "taxonomy_labels", never)
+    assert {r.measure: r.n for r in queries.queries()["graph_summary"](spark, tiny).collect()} == want
+
+
+def test_work_labels_equal_taxonomy_labels_and_shuffle_no_text(spark):
+    texts = ["Deep flow and C# code", "deep flows", "a DEEP-FLOW, c#", "", None, "flow deep"]
+    blocks = spark.createDataFrame([(f"d{i % 4}", i, f"b{i}", texts[i % len(texts)]) for i in range(24)] * 2, "document_id string, idx int, block_id string, text string")
+    owner = spark.createDataFrame([("w1", "d0"), ("w1", "d1"), ("w2", "d1"), ("w3", "d2"), ("w4", None)], "work_id string, document_id string")
+    aliases = spark.createDataFrame([("aim", "aim.flow", "deep flow"), ("aim", "aim.flow", "flow"), ("sign", "sign.c_sharp", "C#"), ("none", "none.none", "--")], "facet string, label_id string, alias string")
+    want = rows(mentions.taxonomy_labels(blocks.distinct().join(owner, "document_id"), aliases).select("work_id", "facet", "label_id"))
+    assert len(want) >= 4
+    for limit in (100, 0):
+        got = mentions.work_labels(blocks, owner, aliases, limit)
+        assert rows(got) == want
+    few = mentions.work_labels(blocks, owner, aliases)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in few
+
+
 def test_equal_reference_lines_are_compared_once(spark, monkeypatch):
     seen = {}
 
