@@ -110,11 +110,12 @@ def _dots(left: tuple, right: tuple, shape: tuple[int, int], kind: type, dense:
     """Sums of products of the weights of common items, of every work of one part and every one of the other; and the places
     that may not be 0, if they are few.
 
-    An item that meets in a share of the pairs above ``dense`` is a column of a product of matrices, for others the pairs
-    that have it are listed."""
+    Items that meet in a share of the pairs above ``dense`` are columns of a product of matrices, for others the pairs that
+    have them are listed."""
     _, x, y = np.intersect1d(left[0], right[0], assume_unique=True, return_indices=True)
     nx, ny = left[2][x].astype(np.int64), right[2][y].astype(np.int64)
     often = nx * ny > dense * shape[0] * shape[1]
+    often &= (nx * ny)[often].sum() * 8 > shape[0] * shape[1]  # a few such items are listed, too
     out = np.zeros(shape, dtype=kind)
     if often.any():
         sides = []
